@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerlode.llm import decontam
+from ledgerlode.llm import bpe, decontam, token_store
 
-MODULES = [decontam]
+MODULES = [token_store, bpe, decontam]
 
 
 def queries() -> dict:
