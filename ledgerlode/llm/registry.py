@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerlode.llm import bpe, decontam, token_store
+from ledgerlode.llm import bpe, decontam, neardup, token_store
 
-MODULES = [token_store, bpe, decontam]
+MODULES = [token_store, neardup, bpe, decontam]
 
 
 def queries() -> dict:
