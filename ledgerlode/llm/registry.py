@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerlode.llm import bpe, decontam, langid, neardup, token_store
+from ledgerlode.llm import bpe, decontam, langid, neardup, quality, token_store
 
-MODULES = [token_store, langid, neardup, bpe, decontam]
+MODULES = [token_store, langid, neardup, bpe, decontam, quality]
 
 
 def queries() -> dict:
