@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerlode.llm import bpe, decontam, langid, neardup, quality, token_store
+from ledgerlode.llm import bpe, decontam, html_blocks, langid, neardup, quality, secret_scan, token_store
 
-MODULES = [token_store, langid, neardup, bpe, decontam, quality]
+MODULES = [token_store, langid, neardup, bpe, decontam, quality, html_blocks, secret_scan]
 
 
 def queries() -> dict:
