@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerlode.llm import ann, bpe, decontam, html_blocks, langid, neardup, quality, secret_scan, token_store
+from ledgerlode.llm import ann, bpe, decontam, html_blocks, langid, neardup, pii, quality, secret_scan, token_store
 
-MODULES = [token_store, langid, neardup, ann, bpe, decontam, quality, html_blocks, secret_scan]
+MODULES = [token_store, pii, langid, neardup, ann, bpe, decontam, quality, html_blocks, secret_scan]
 
 
 def queries() -> dict:
