@@ -1,0 +1,460 @@
+"""Documents to ordered, typed blocks: HTML, legacy text with SGML tables, and filing envelopes.
+
+Markup has no native form, so these are Arrow functions that see each document once; what
+can be an expression (the kind of a payload, table shapes, clean-up) is one elsewhere. A
+document over ``LIMIT`` bytes gives one row with the status ``limit_exceeded``.
+"""
+
+from __future__ import annotations
+
+import html
+import re
+from html.parser import HTMLParser
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ledgerlode.operators.selection import NOT_A_NUMBER, NUMBER_CELL
+
+LIMIT = 128 << 20
+BLOCK_SCHEMA = "ordinal int, kind string, text string, locator string, section string, status string"
+_FIELDS = ("ordinal", "kind", "text", "locator", "section", "status")
+
+#: Elements and classes that readers don't see.
+_HIDDEN_TAGS = frozenset("head script style noscript template title meta link".split()) | {"ix:header", "ix:hidden"}
+_HIDDEN_CLASSES = frozenset("hidden hide invisible sr-only visually-hidden".split())
+_BLOCK_TAGS = frozenset("address blockquote body caption dd div dl dt h1 h2 h3 h4 h5 h6 html li ol p pre section article main nav header footer aside table tbody td tfoot th thead tr ul hr form".split())
+_OWN_TEXT = frozenset("address blockquote body caption dd div dt h1 h2 h3 h4 h5 h6 li p pre td th section article main header footer aside".split())
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_ENDS = {"p": _BLOCK_TAGS - {"td", "th"}, "li": {"li"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr", "tbody", "tfoot"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
+_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_SIMPLE = re.compile(r"(?:([a-zA-Z][\w-]*)?)([.#])([\w-]+)$")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_SECTION = re.compile(r"\s*(?:(part)\s+([ivx]{1,4}|[0-9])|(item)\s+([0-9]{1,2}[a-c]?))\b\.?(.*)", re.I | re.S)
+_number, _no_number = re.compile(NUMBER_CELL), re.compile(NOT_A_NUMBER)
+
+_LINES = re.compile("\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x85  ]")
+_TABLE_OPEN, _TABLE_CLOSE, _PAGE, _TAG = (re.compile(p, re.I) for p in (r"\s*<table>\s*$", r"\s*</table>\s*$", r"\s*<page>\s*$", r"</?[a-z][^>]*>"))
+
+
+def payload_kind(body: Column) -> Column:
+    """html, html_pre or legacy_text; the first rule that holds."""
+    bare = F.regexp_replace(body, r"(?is)<pre[^>]*>.*?</pre>", "")
+    return (
+        F.when(bare.rlike(r"(?i)<t[rd][\s>/]"), "html")
+        .when(body.rlike(r"(?i)<pre[\s>]") & body.rlike(r"(?i)<(html|body)[\s>]"), "html_pre")
+        .when(body.rlike(r"(?im)^[ \t]*<(page|table|caption|s|c|document|text|type)>"), "legacy_text")
+        .when(body.rlike(r"(?i)</?(html|body|head|div|p|table|span|br|h[1-6]|article|ul|li)[\s>/]"), "html")
+        .otherwise("legacy_text")
+    )
+
+
+def is_number(cell: str) -> bool:
+    return bool(_number.match(cell)) and not _no_number.match(cell)
+
+
+def is_data_table(rows: list[list[str]]) -> bool:
+    """The rule of ``selection.data_tables`` with tables of contents rejected."""
+    rows = [r for r in ([c for c in r if c] for r in rows) if r]
+    if any(re.match(r"(?:item|part)\s", r[0], re.I) for r in rows) and not any(c.startswith("$") for r in rows for c in r):
+        values = [c for r in rows for c in r[1:] if is_number(c)]
+        if all(re.fullmatch(r"[0-9]{1,3}", c) for c in values):
+            return False
+    n = [sum(map(is_number, r[1:])) for r in rows]
+    return any(x >= 2 for x in n) or sum(x == 1 for x in n) >= 2 or any(x == 1 and any(re.search("[$(%]", c) for c in r) for x, r in zip(n, rows, strict=True))
+
+
+class _Node:
+    __slots__ = ("tag", "attributes", "children", "parent")
+
+    def __init__(self, tag, attributes, parent):
+        self.tag, self.attributes, self.children, self.parent = tag, attributes, [], parent
+
+
+class _Tree(HTMLParser):
+    """Elements with their ends implied where the standard allows them to be left out."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.at = _Node("#root", {}, None)
+        self.styles: list[str] = []
+
+    def handle_starttag(self, tag, attrs):
+        while self.at.tag in _ENDS and tag in _ENDS[self.at.tag] and not (self.at.tag in ("td", "th") and tag == "tr" and self.at.parent is None):
+            self.at = self.at.parent
+        node = _Node(tag, {k: v or "" for k, v in attrs}, self.at)
+        self.at.children.append(node)
+        if tag not in _VOID:
+            self.at = node
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in _VOID:
+            self.at = self.at.parent
+
+    def handle_endtag(self, tag):
+        node = self.at
+        while node is not None and node.tag != tag:
+            node = node.parent
+        if node is not None and node.parent is not None:
+            self.at = node.parent
+
+    def handle_data(self, data):
+        if self.at.tag == "style":
+            self.styles.append(data)
+        self.at.children.append(data)
+
+
+def _style_rules(styles: list[str]) -> tuple[set[tuple[str, str, str]], int]:
+    """(tag, mark, name) of simple selectors that hide, and the number of others that do."""
+    hidden, other = set(), 0
+    for sheet in styles:
+        sheet = re.sub(r"@media[^{]*\{(?:[^{}]*\{[^{}]*\})*[^{}]*\}", "", re.sub(r"/\*.*?\*/", "", sheet, flags=re.S))
+        for selectors, body in _RULE.findall(sheet):
+            if _NOT_SHOWN.search(body):
+                found = [_SIMPLE.match(x.strip()) for x in selectors.split(",")]
+                if all(found):
+                    hidden.update((m[1] or "", m[2], m[3]) for m in found)
+                else:
+                    other += 1
+    return hidden, other
+
+
+def _is_hidden(node: _Node, rules: set) -> bool:
+    a = node.attributes
+    classes = set(a.get("class", "").split())
+    if node.tag in _HIDDEN_TAGS or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or _HIDDEN_CLASSES & classes or _NOT_SHOWN.search(a.get("style", "")):
+        return True
+    names = [(".", c) for c in classes] + ([("#", a["id"])] if a.get("id") else [])
+    return any((tag, *n) in rules for n in names for tag in ("", node.tag))
+
+
+class _Sections:
+    """Part, item and headings so far; a part resets its items, an item its headings, a heading those of its level and below."""
+
+    def __init__(self):
+        self.part, self.item, self.heads = None, None, []
+
+    def see(self, text: str, level: int | None) -> None:
+        m = _SECTION.fullmatch(text) if len(text) <= 200 else None
+        if m and m[1]:
+            self.part, self.item, self.heads = f"Part {m[2].upper()}", None, []
+        elif m:
+            self.item, self.heads = f"Item {m[4].upper()}", []
+        elif level:
+            self.heads = [(lv, t) for lv, t in self.heads if lv < level] + [(level, text)]
+
+    def path(self) -> str:
+        return " > ".join([x for x in (self.part, self.item) if x] + [t for _, t in self.heads[-4:]])
+
+
+def _squeeze(text: str) -> str:
+    return " ".join(text.split())
+
+
+def _table_rows(table: _Node, hidden: set[int]) -> list[list[_Node]]:
+    rows, todo = [], [table]
+    while todo:
+        node = todo.pop(0)
+        inner = []
+        for c in node.children:
+            if isinstance(c, _Node) and id(c) not in hidden:
+                if c.tag == "tr":
+                    rows.append([x for x in c.children if isinstance(x, _Node) and x.tag in ("td", "th") and id(x) not in hidden])
+                elif c.tag in ("thead", "tbody", "tfoot"):
+                    inner.append(c)
+        todo[:0] = inner
+    return rows
+
+
+def _whole_text(node: _Node, hidden: set[int]) -> str:
+    out, todo = [], [node]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif id(x) not in hidden:
+            if x.tag in _BLOCK_TAGS or x.tag == "br":
+                out.append(" ")
+            todo.extend(reversed(x.children))
+    return _squeeze("".join(out))
+
+
+def _span(cell: _Node, name: str) -> int:
+    value = cell.attributes.get(name, "").strip()
+    return min(100, max(1, int(value))) if re.fullmatch("[0-9]{1,9}", value) else 1
+
+
+def table_text(table: _Node, hidden: set[int]) -> str:
+    """One line for each number: its row's label, its column's header and the number."""
+    grid: dict[tuple[int, int], tuple[str, bool]] = {}
+    rows = _table_rows(table, hidden)
+    for r, cells in enumerate(rows):
+        c = 0
+        for cell in cells:
+            while (r, c) in grid:
+                c += 1
+            content = (_whole_text(cell, hidden), cell.tag == "th")
+            for i in range(_span(cell, "rowspan")):
+                for j in range(_span(cell, "colspan")):
+                    grid.setdefault((r + i, c + j), content if i == j == 0 else ("", cell.tag == "th") if j else content)
+            c += _span(cell, "colspan")
+    width = 1 + max((c for _, c in grid), default=-1)
+    heads = next((r for r in range(len(rows)) if any(grid.get((r, c), ("", False))[0] for c in range(width)) and not any(is_number(grid.get((r, c), ("", False))[0]) for c in range(1, width))), None)
+    lines = []
+    caption = next((x for x in table.children if isinstance(x, _Node) and x.tag == "caption"), None)
+    if caption is not None and (text := _whole_text(caption, hidden)):
+        lines.append(text)
+    for r in range(len(rows)):
+        label = grid.get((r, 0), ("", False))[0] or "unknown"
+        for c in range(1, width):
+            value = grid.get((r, c), ("", False))[0]
+            if value and r != heads:
+                head = grid.get((heads, c), ("", False))[0] if heads is not None else ""
+                lines.append(f"{label} | {head or 'unknown'} | {value}")
+    return "\n".join(lines)
+
+
+def parse_html(source: str) -> tuple[list[dict], str]:
+    """Blocks in document order and a status: full, or partial where hiding rules weren't understood."""
+    if "<!ENTITY" in source.upper():
+        return [], "failed"
+    tree = _Tree()
+    tree.feed(source)
+    tree.close()
+    rules, unknown = _style_rules(tree.styles)
+    hidden: set[int] = set()
+    out: list[dict] = []
+    sections = _Sections()
+
+    def emit(kind: str, text: str, path: str, level: int | None = None) -> None:
+        if kind == "text":
+            sections.see(text, level)
+        out.append({"kind": "heading" if level else kind, "text": text, "locator": path, "section": sections.path()})
+
+    def own_text(node: _Node) -> str:
+        parts, todo = [], list(reversed(node.children))
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                parts.append(x)
+            elif _is_hidden(x, rules) or x.tag in _BLOCK_TAGS:
+                parts.append(" ")
+            else:
+                parts.append(" " if x.tag == "br" else "")
+                todo.extend(reversed(x.children))
+        return _squeeze("".join(parts))
+
+    todo: list[tuple[_Node, str]] = [(tree.root, "")]
+    while todo:
+        node, path = todo.pop()
+        if node.tag != "#root" and _is_hidden(node, rules):
+            hidden.add(id(node))
+            continue
+        if node.tag == "table":
+            below = [node]
+            while below:
+                x = below.pop()
+                for c in x.children:
+                    if isinstance(c, _Node):
+                        if _is_hidden(c, rules):
+                            hidden.add(id(c))
+                        below.append(c)
+            rows = _table_rows(node, hidden)
+            cells = [[_whole_text(c, hidden) for c in r] for r in rows]
+            if is_data_table(cells):
+                emit("table", table_text(node, hidden) or "\n".join("\t".join(r) for r in cells), path)
+                continue
+        elif (node.tag in _OWN_TEXT or node.tag == "#root") and (text := own_text(node)):
+            emit("text", text, path or "/", int(node.tag[1]) if re.fullmatch("h[1-6]", node.tag) else None)
+        same: dict[str, int] = {}
+        total: dict[str, int] = {}
+        kids = [c for c in node.children if isinstance(c, _Node)]
+        for c in kids:
+            total[c.tag] = total.get(c.tag, 0) + 1
+        steps = []
+        for c in kids:
+            same[c.tag] = same.get(c.tag, 0) + 1
+            steps.append((c, f"{path}/{c.tag}" + (f"[{same[c.tag]}]" if total[c.tag] > 1 else "")))
+        todo.extend(reversed(steps))
+    return out, "partial" if unknown else "full"
+
+
+def _fields(line: str) -> list[str]:
+    return [x for x in re.split(r" {2,}", line.expandtabs(8).strip()) if x]
+
+
+def _candidate(line: str) -> int:
+    """The number of values of a line that could be a row of a plain table, or 0."""
+    fields = _fields(line)
+    if len(fields) < 2 or all(re.fullmatch(r"(?:19|20)[0-9]{2}", x) for x in fields):
+        return 0
+    values = [x for x in fields[1:] if is_number(x) or x in ("-", "--", "$--", "n/a")]
+    return 0 if not values or fields[-1] not in values else len(values)
+
+
+def parse_text(source: str) -> tuple[list[dict], str]:
+    """Paragraphs and tables of plain or SGML text, with line ranges."""
+    lines = _LINES.split(source)
+    out: list[dict] = []
+    sections, status = _Sections(), "full"
+
+    def emit(kind: str, a: int, b: int) -> None:
+        body = "\n".join(lines[a : b + 1]).strip("\n")
+        if body.strip():
+            if kind == "text":
+                sections.see(_squeeze(body), None)
+            out.append({"kind": kind, "text": body, "locator": f"L{a + 1}-{b + 1}", "section": sections.path()})
+
+    plain: dict[int, int] = {}
+    if not any(_TABLE_OPEN.match(x) for x in lines):
+        start, blank, rows, last = None, 0, [], 0
+        for k, x in enumerate([*lines, None]):
+            n = _candidate(x) if x else 0
+            if x is not None and x.strip() and (n or len(x) <= 100):
+                start, blank, last = k if start is None else start, 0, k
+                if n:
+                    rows.append((k, n))
+            elif x is not None and not x.strip() and blank < 1 and start is not None:
+                blank += 1
+            else:
+                if start is not None and len(rows) >= 3 and sum(n >= 2 for _, n in rows) >= 2 and is_data_table([_fields(lines[r]) for r, _ in rows]):
+                    plain[start] = last
+                start, blank, rows = None, 0, []
+    k, first = 0, None
+
+    def flush(before: int) -> None:
+        nonlocal first
+        if first is not None:
+            emit("text", first, before - 1)
+            first = None
+
+    while k < len(lines):
+        x = lines[k]
+        if k in plain:
+            flush(k)
+            emit("table", k, plain[k])
+            k = plain[k] + 1
+            continue
+        if _TABLE_OPEN.match(x):
+            end = next((j for j in range(k + 1, len(lines)) if _TABLE_CLOSE.match(lines[j]) or _TABLE_OPEN.match(lines[j])), None)
+            if end is not None and _TABLE_CLOSE.match(lines[end]):
+                flush(k)
+                rows = [_fields(y) for y in lines[k + 1 : end] if not _TAG.search(y)]
+                emit("table" if is_data_table(rows) else "text", k, end)
+                k = end + 1
+                continue
+            status = "partial"
+        if _PAGE.match(x):
+            lines[k] = ""
+        elif not x.strip():
+            flush(k)
+        elif first is None:
+            first = k
+        k += 1
+    flush(len(lines))
+    return out, status
+
+
+def _pre_body(source: str) -> str | None:
+    """The text of all pre elements; None where markup is nested in them."""
+    bodies = re.findall(r"<pre[^>]*>(.*?)</pre>", source, re.I | re.S)
+    text = "\n".join(re.sub(r"<br\s*/?>", "\n", b, flags=re.I) for b in bodies)
+    text = re.sub(r"</?(?:b|i|u|em|strong|font|a|span|sup|sub)\b[^>]*>", "", text, flags=re.I)
+    return None if re.search(r"</?(?:div|p|tr|td|ul|ol|li|h[1-6])\b", text, re.I) else html.unescape(text)
+
+
+def parse(source: str | None, kind: str) -> list[dict]:
+    """Rows of ``BLOCK_SCHEMA``; at least one, which carries the status, for each document."""
+    if source is None or len(source) > LIMIT:
+        blocks, status = [], "not_content" if source is None else "limit_exceeded"
+    elif kind == "html":
+        blocks, status = parse_html(source)
+    elif kind == "html_pre":
+        body = _pre_body(source)
+        blocks, status = ([], "failed") if body is None else parse_text(body)
+    else:
+        blocks, status = parse_text(source)
+    rows = [b | {"ordinal": k, "status": status} for k, b in enumerate(blocks)]
+    return rows or [{"ordinal": None, "kind": None, "text": None, "locator": None, "section": None, "status": status}]
+
+
+def _flat(docs: DataFrame, keys: list[str], body: str, kind: Column, only: bool) -> DataFrame:
+    kept = docs.select(*keys, F.col(body).cast("string").alias("__body"), kind.alias("__kind"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[: len(keys)]) + ", " + BLOCK_SCHEMA
+    n = len(keys)
+
+    def run(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                rows = parse(batch.column(n)[r].as_py(), batch.column(n + 1)[r].as_py())
+                own = batch.slice(r, 1).select(list(range(n)))
+                at = pa.array([0] * len(rows), pa.int32())
+                columns = [c.take(at) for c in own.columns]
+                columns += [pa.array([x[f] for x in rows], pa.int32() if f == "ordinal" else pa.string()) for f in _FIELDS]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keys, *_FIELDS])
+
+    out = kept.mapInArrow(run, schema)
+    return out.where("ordinal is not null") if only else out
+
+
+def html_blocks(docs: DataFrame, keys: list[str], body: str) -> DataFrame:
+    return _flat(docs, keys, body, F.lit("html"), True)
+
+
+def text_blocks(docs: DataFrame, keys: list[str], body: str) -> DataFrame:
+    return _flat(docs, keys, body, F.lit("legacy_text"), True)
+
+
+def content_blocks(docs: DataFrame, keys: list[str], body: str) -> DataFrame:
+    """Blocks of documents of any kind; documents without blocks keep a row with their status."""
+    return _flat(docs, keys, body, payload_kind(F.col(body)), False)
+
+
+#: The header lines that an envelope may have.
+ENVELOPE_HEADERS = ("TYPE", "SEQUENCE", "FILENAME", "DESCRIPTION")
+_ENVELOPE = r"(?s)^\s*<DOCUMENT>[ \t]*\r?\n((?:<[A-Z]+>[^\r\n]*\r?\n)*)<TEXT>[ \t]*\r?\n(.*)\r?\n</TEXT>[ \t]*\r?\n</DOCUMENT>\s*$"
+
+
+def envelopes(docs: DataFrame, keys: list[str], raw: str) -> DataFrame:
+    """(keys, type, filename, payload, status) of wrapped documents, natively.
+
+    A sound envelope has one wrapper, header lines of known names without repeats, a type,
+    and values of at most 4096 characters; otherwise the status says what is wrong.
+    """
+    head, payload = F.regexp_extract(raw, _ENVELOPE, 1), F.regexp_extract(raw, _ENVELOPE, 2)
+    names = F.regexp_extract_all(head, F.lit("(?m)^<([A-Z]+)>"), F.lit(1))
+    value = lambda n: F.trim(F.regexp_extract(head, f"(?m)^<{n}>([^\r\n]*)", 1))
+    wrapped = F.col(raw).rlike(_ENVELOPE)
+    unknown = F.size(F.array_except(names, F.array(*map(F.lit, ENVELOPE_HEADERS)))) > 0
+    status = (
+        F.when(~F.coalesce(wrapped, F.lit(False)), "not_wrapped")
+        .when(F.size(F.regexp_extract_all(raw, F.lit("(?m)^<DOCUMENT>"), F.lit(0))) != 1, "nested")
+        .when(unknown | (F.size(F.array_distinct(names)) != F.size(names)), "headers")
+        .when((value("TYPE") == "") | (F.length(value("TYPE")) > 4096) | (F.length(head) > 8192), "type")
+        .otherwise("ok")
+    )
+    return docs.select(*keys, value("TYPE").alias("type"), value("FILENAME").alias("filename"), payload.alias("payload"), status.alias("status"))
+
+
+def segments(docs: DataFrame, keys: list[str], raw: str) -> DataFrame:
+    """(keys, place, segment) of a full submission; no rows where opening and closing lines don't match in number."""
+    opened = F.regexp_extract_all(raw, F.lit("(?m)^<DOCUMENT>"), F.lit(0))
+    parts = F.regexp_extract_all(raw, F.lit(r"(?ms)^<DOCUMENT>.*?^</DOCUMENT>"), F.lit(0))
+    balanced = (F.size(opened) == F.size(F.regexp_extract_all(raw, F.lit("(?m)^</DOCUMENT>"), F.lit(0)))) & (F.size(opened) == F.size(parts))
+    return docs.where(balanced).select(*keys, F.posexplode(parts).alias("place", "segment"))
+
+
+def decode(content: bytes) -> str:
+    """Text of bytes: by byte order mark, then a charset named in the first 8192 bytes, then UTF-8, then Windows-1252."""
+    for mark, name in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
+        if content.startswith(mark):
+            return content.decode(name, "replace")
+    named = re.search(rb"<meta[^>]+charset\s*=\s*[\"']?([\w-]+)", content[:8192], re.I)
+    for name in ([named[1].decode("ascii")] if named else []) + ["utf-8", "cp1252"]:
+        try:
+            return content.decode(name)
+        except (LookupError, UnicodeDecodeError):
+            continue
+    return content.decode("utf-8", "replace")
