@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Zero-width code points that cleaning removes.
-ZERO_WIDTH = "​‌‍﻿"
+ZERO_WIDTH = "\u200b\u200c\u200d\ufeff"
 #: The code points that end a line (as Python's str.splitlines has them).
 LINE_END = r"\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 #: White space inside a line.

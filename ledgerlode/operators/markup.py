@@ -34,7 +34,7 @@ _NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SECTION = re.compile(r"\s*(?:(part)\s+([ivx]{1,4}|[0-9])|(item)\s+([0-9]{1,2}[a-c]?))\b\.?(.*)", re.I | re.S)
 _number, _no_number = re.compile(NUMBER_CELL), re.compile(NOT_A_NUMBER)
 
-_LINES = re.compile("\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x85  ]")
+_LINES = re.compile("\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x85  ]")
 _TABLE_OPEN, _TABLE_CLOSE, _PAGE, _TAG = (re.compile(p, re.I) for p in (r"\s*<table>\s*$", r"\s*</table>\s*$", r"\s*<page>\s*$", r"</?[a-z][^>]*>"))
 
 
