@@ -37,6 +37,7 @@ WIDTH = PATH + WORD + EXTRA
 _BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _RAW = frozenset("script style noscript template textarea title iframe object svg math head canvas audio video".split())
+_END = {t: re.compile(rf"</{t}\s*>" if t != "head" else r"</head\s*>|(?=<body)", re.I) for t in _RAW}
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -58,7 +59,6 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     out: list = []
     held: list[str] = []
     link, linked, size = 0, 0, 0
-    skip = None
 
     def close():
         nonlocal linked, size
@@ -70,25 +70,24 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             held.clear()
         linked = size = 0
 
-    for m in _TOKEN.finditer(page):
+    at, n = 0, len(page)
+    while at < n:
+        m = _TOKEN.match(page, at)
+        at = m.end()
         tag = m[2]
         if tag is None:
             text = m[0]
-            if not skip and (text[0] != "<" or text == "<"):
+            if text[0] != "<" or text == "<":
                 held.append(text)
                 size += len(text)
                 if link:
                     linked += len(text)
             continue
         tag, ending = tag.lower(), bool(m[1])
-        if skip:
-            if ending and tag == skip or skip == "head" and tag == "body":
-                skip = None
-            if skip or ending:
-                continue
         if tag in _RAW:
             if not ending and not m[3].rstrip().endswith("/"):
-                skip = tag
+                end = _END[tag].search(page, at)
+                at = end.end() if end else at if tag == "head" else n
             continue
         if tag not in _BLOCK:
             if tag == "a":
@@ -101,9 +100,9 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         if tag in _VOID:
             continue
         if ending:
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if at is not None:
-                del stack[at:]
+            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
+            if k is not None:
+                del stack[k:]
             continue
         if stack and stack[-1][0] == "p":
             stack.pop()
