@@ -100,8 +100,8 @@ class Model:
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
-    """A model from a bounded sample of the rows of ``docs`` with text and lang."""
-    named = docs.where("text is not null and lang is not null").select(F.col("lang").cast("string"), "doc_id", F.xxhash64("doc_id").alias("h"))
+    """A model from a bounded sample of the rows of ``docs`` with doc_id, text and lang."""
+    named = docs.where("text is not null and lang is not null and doc_id is not null").select(F.col("lang").cast("string"), "doc_id", F.xxhash64("doc_id").alias("h"))
     names = [r[0] for r in named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()]
     if not names:
         return None
