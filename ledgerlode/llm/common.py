@@ -28,10 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder; lineage ends there."""
+def checkpoint(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A reliable checkpoint in the shared folder; lineage ends there.
+
+    With ``rows``, later stages read it with a task for each so many rows (8 at least), as
+    small tables over many shuffle partitions would cost a task and three files for each.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    return out if rows is None else out.coalesce(max(8, -(-out.count() // rows)))
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -11,17 +11,17 @@ signatures agree in a coordinate with the weighted Jaccard similarity. With all
 weights 1, as the query has them, that is the Jaccard similarity of the sets.
 
 Steps: (1) equal word sequences are one node (aggregation, exact). (2) Signatures
-fall into ``BANDS`` bands. (3) In each bucket all members are paired with up to
-three hubs only: the least node, then the members whose signatures agree best with
-the hubs so far, so pairs grow with the rows, not with the square of a bucket.
-(4) Pairs whose signatures agree enough are verified on their whole shingle sets.
-(5) Connected components. (6) In buckets that still hold several components, blocks
-of ``BLOCK`` members are compared by signature, and each member's best partner in
-every other component is verified, and components are made again.
-
-A pair of similarity 0.8 shares a bucket with probability 0.9999. A pair stays
-unlinked if neither a hub nor (6) pairs it and no chain of links joins its
-components; measured recall is in the README.
+fall into ``BANDS`` bands. (3) Each bucket is dealt into blocks of about ``BLOCK`` members, by a
+hash of its own, and in a block the signatures' agreements give a spanning forest, with
+fewer pairs than members, so pairs grow with the rows and not with the square of a
+bucket. (4) These pairs are verified on their whole
+shingle sets. (5) Connected components. (6) In buckets that still hold several
+components, each member's best partner outside its own is verified, and components are
+made again, until that links nothing new.
+
+A pair of similarity 0.8 shares a bucket with probability 0.9999. Members of a bucket
+over ``BLOCK`` meet in a block of some band with a probability that falls with its size,
+but need only be linked through others; measured recall is in the README.
 
 Null texts and texts without words are classes of their own. Rows with a
 repeated doc_id each get a row. A class's id is its least doc_id; null ids are
@@ -35,7 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
@@ -45,7 +45,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
 K = BANDS * ROWS
-BLOCK = 256
+BLOCK = 512
+#: Rows of node ids for each task of the later steps.
+SMALL = 50_000
 #: Signatures of a pair of similarity 0.8 agree in less than this part with probability 1e-7.
 LEAST_AGREEMENT = THRESHOLD - 5.5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / K)
 
@@ -79,11 +81,11 @@ def dart_signatures(ids: np.ndarray, weights: np.ndarray, first: np.ndarray, k:
             cells = np.ceil(rank_limit[own[on]] * span).astype(np.int64)
             e = np.repeat(on, cells)
             r = np.arange(len(e)) - np.repeat(np.cumsum(cells) - cells, cells)
-            h = W.mix(ids[at[e]] ^ W.mix(r.astype(np.uint64) * _STEP[0] + np.uint64(level) * _STEP[1]))
+            h = W.mix(ids[at[e]] ^ W.mix(r.astype(np.uint64) * _STEP[0] + np.uint64(level * int(_STEP[1]) % 2**64)))
             count = np.searchsorted(_POISSON, _unit(h), "right")
             for q in range(int(count.max(initial=0))):
                 some = np.flatnonzero(count > q)
-                d = W.mix(h[some] + np.uint64(q + 1) * _STEP[2])
+                d = W.mix(h[some] + np.uint64((q + 1) * int(_STEP[2]) % 2**64))
                 where = (r[some] + _unit(W.mix(d + _STEP[3]))) / span
                 o = own[e[some]]
                 keep = (low + span * _unit(d) < weights[at[e[some]]]) & (where < rank_limit[o])
@@ -109,7 +111,7 @@ def shingles(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
 
 
 def _sketch(kept: DataFrame) -> DataFrame:
-    """doc_id and text's hash with the word sequence's hash, shingle count, signature (16 bits a coordinate) and bands."""
+    """doc_id and text's hash with the word sequence's hash, shingle count, signature (8 bits a coordinate) and bands."""
     schema = "doc_id bigint, h bigint, g bigint, k1 bigint, k2 bigint, sig binary, bands array<bigint>"
 
     def run(batches):
@@ -125,7 +127,7 @@ def _sketch(kept: DataFrame) -> DataFrame:
                 for c in range(ROWS):
                     keys = W.mix(keys * _STEP[0] + bands[:, :, c])
                 whole = [[int(W.mix(np.array([(own * W._power(int(s) | 1, len(own) + 1)[1:]).sum()], np.uint64) + np.uint64(len(own))).view(np.int64)[0]) for s in _STEP[2:4]] for own in (h[first[r] : first[r + 1]] for r in rows)]
-                small = sig.astype("<u2")
+                small = sig.astype(np.uint8)
                 k1, k2, s, b = ([None] * (j - i) for _ in range(4))
                 for x, r in enumerate(rows):
                     (k1[r], k2[r]), s[r], b[r] = whole[x], small[x].tobytes(), keys[x].view(np.int64)
@@ -134,19 +136,6 @@ def _sketch(kept: DataFrame) -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
-def _agreement(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b) with the part of coordinates in which their signatures agree."""
-
-    def run(batches):
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, K) for c in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((a == b).mean(1))], names=["a", "b", "agree"])
-
-    sig = nodes.select("node", "sig")
-    both = pairs.join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(run, "a bigint, b bigint, agree double")
-
-
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of at least ``THRESHOLD``."""
 
@@ -169,115 +158,157 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the least node of each connected component, for the nodes of ``edges`` (a, b).
 
-    Least labels spread over the edges, then each label takes its own label, until
-    nothing changes; the driver sees only the number of changes.
+    Large and small stars in turn: every node's larger neighbours, then its smaller ones,
+    are linked to its least neighbour, until all links lead to a least node. The driver
+    sees only the number and a checksum of the links.
     """
-    both = checkpoint(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    label = checkpoint(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
+    ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    held, before = checkpoint(ordered.distinct(), SMALL), None
     while True:
-        near = both.join(label, both.b == label.node).groupBy(F.col("a").alias("n")).agg(F.min("comp").alias("m"))
-        spread = label.join(near, label.node == near.n).select("node", F.least("comp", "m").alias("next"), F.col("comp").alias("was"))
-        jump = label.select(F.col("node").alias("next"), F.col("comp").alias("far"))
-        new = checkpoint(spread.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("comp"), "was"))
-        changed = new.where("comp <> was").count()
-        label = new.select("node", "comp")
-        if not changed:
-            return label
+        now = held.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == before:
+            return held.union(held.select("b", "b").distinct()).toDF("node", "comp")
+        before = now
+        both = held.union(held.select("b", "a"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a")
+        small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
+        held = checkpoint(small.coalesce(max(8, held.rdd.getNumPartitions())), SMALL)
+
+
+def forest(agree: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of agreements of at least ``LEAST_AGREEMENT``.
+
+    It is a maximum spanning forest in which the member that agrees best with all others
+    goes before: those that agree with it by ``THRESHOLD`` hang on it, so blocks of one
+    group give the same few edges and short paths.
+    """
+    n = len(agree)
+    hub = int(np.where(agree >= LEAST_AGREEMENT, agree, 0).sum(1).argmax())
+    close = agree[hub] >= THRESHOLD
+    weight = agree.copy()
+    weight[hub, close] += 1
+    weight[close, hub] += 1
+    best, near, todo = weight[hub].copy(), np.full(n, hub), np.ones(n, bool)
+    todo[hub] = False
+    out = []
+    for _ in range(n - 1):
+        at = int(np.where(todo, best, -2.0).argmax())
+        todo[at] = False
+        if best[at] >= LEAST_AGREEMENT:
+            out.append((int(near[at]), at))
+        closer = todo & (weight[at] > best)
+        best[closer], near[closer] = weight[at][closer], at
+    return out
 
 
-def _best_partners(members: DataFrame) -> DataFrame:
-    """From blocks of (bucket, part, node, comp, sig): each node's best partner in every other component."""
+def _partners(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) from blocks of (bucket, part, node, comp, sig).
+
+    Where comp is null throughout, the block's forest; else each member's best partner
+    with another comp.
+    """
 
     def pairs(node, comp, sig):
-        a = (sig[:, None, :] == sig[None, :, :]).mean(2) if len(node) <= 64 else np.stack([(sig == x).mean(1) for x in sig])
-        out = set()
-        for c in np.unique(comp):
-            cols = np.flatnonzero(comp == c)
-            rows = np.flatnonzero(comp != c)
-            if len(rows):
-                best = a[np.ix_(rows, cols)]
-                at = best.argmax(1)
-                for r, m, v in zip(rows, at, best.max(1), strict=True):
-                    if v >= LEAST_AGREEMENT:
-                        out.add((min(node[r], node[cols[m]]), max(node[r], node[cols[m]])))
-        return out
+        agree = np.stack([(sig == x).mean(1) for x in sig])
+        np.fill_diagonal(agree, -1)
+        if comp is None:
+            found = forest(agree)
+        else:
+            agree[comp[:, None] == comp[None, :]] = -1
+            found = [(r, int(c)) for r, c in enumerate(agree.argmax(1)) if agree[r, c] >= LEAST_AGREEMENT]
+        return {(min(node[x], node[y]), max(node[x], node[y])) for x, y in found}
 
     def run(batches):
         held: list = []
 
         def flush():
             t = pa.Table.from_batches(held)
-            found = pairs(t["node"].to_numpy(), t["comp"].to_numpy(), np.frombuffer(b"".join(t["sig"].to_pylist()), "<u2").reshape(-1, K)) if t.num_rows > 1 else ()
             held.clear()
+            if t.num_rows < 2:
+                return None
+            comp = None if t["comp"].null_count else t["comp"].to_numpy()
+            found = pairs(t["node"].to_numpy(), comp, np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, K))
             if found:
                 return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
         last = None
         for batch in batches:
-            key = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-            cut = [i for i in range(1, len(key)) if key[i] != key[i - 1]]
-            for i, j in zip([0, *cut], [*cut, len(key)], strict=True):
+            bucket, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cut = (np.flatnonzero((np.diff(bucket) != 0) | (np.diff(part) != 0)) + 1).tolist()
+            for i, j in zip([0, *cut], [*cut, len(bucket)], strict=True):
                 if i < j:
-                    if last is not None and key[i] != last and held and (x := flush()):
+                    key = (bucket[i], part[i])
+                    if key != last and held and (x := flush()):
                         yield x
-                    last = key[i]
+                    last = key
                     held.append(batch.slice(i, j - i))
         if held and (x := flush()):
             yield x
 
     dealt = members.repartition("bucket", "part").sortWithinPartitions("bucket", "part").select("bucket", "part", "node", "comp", "sig")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def keys(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
+    """Two 64-bit hashes that name a row by its doc_id and whole text."""
+    text = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), F.col(doc_id).cast("long"), text).alias("g")
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, h (xxhash64 of the text), class_id and n_class, the number of rows of the class; one row for each of ``docs``."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    kept = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), "doc_id", text).alias("g"), text.alias("text"))
+    """One row for each of ``docs``: doc_id, the keys h and g of ``keys``, class_id, n_class (rows of the class) and kept.
+
+    kept marks the class's row with the least doc_id; rows equal in doc_id and text are all marked.
+    """
+    h, g = keys()
+    kept = docs.select(F.col("doc_id").cast("long"), h, g, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sketch = checkpoint(_sketch(kept))
-    grouped = sketch.where("k1 is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min(F.struct("h", "g")).alias("source"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-    nodes = checkpoint(grouped.withColumn("node", F.monotonically_increasing_id()))
+    grouped = sketch.where("k1 is not null").groupBy("k1", "k2").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "h", "g")).alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    nodes = checkpoint(grouped.withColumn("node", F.monotonically_increasing_id()), SMALL // 5)
 
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
-    members = checkpoint(rows.join(shared, "bucket").where("node is not null"))
-
-    hubs = members.where("node <> hub").select("bucket", "size", "node", F.col("hub").alias("a"))
-    first = checkpoint(_agreement(hubs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), nodes))
-    scored = hubs.join(first, (F.least(hubs.a, hubs.node) == first.a) & (F.greatest(hubs.a, hubs.node) == first.b)).select("bucket", "size", "node", "agree")
-    more = scored.where("size > 2").groupBy("bucket").agg(F.max_by("node", F.struct("agree", "node")).alias("hub"))
-    second = members.where("size > 2").select("bucket", "node").join(more, "bucket").where("node <> hub")
-    second = second.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-    second = checkpoint(_agreement(second.join(first, ["a", "b"], "left_anti"), nodes))
-    close = first.union(second)
-    total = members.where("size > 3").select("bucket", "node").join(more, "bucket").where("node <> hub").select("bucket", "node", F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).join(close, ["a", "b"]).select("bucket", "node", "agree")
-    total = total.union(scored.where("size > 3").select("bucket", "node", "agree")).groupBy("bucket", "node").agg(F.sum("agree").alias("agree"), F.count("*").alias("n")).where("n = 2")
-    last = total.groupBy("bucket").agg(F.max_by("node", F.struct("agree", "node")).alias("hub"))
-    third = members.where("size > 3").select("bucket", "node").join(last, "bucket").where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct().join(close, ["a", "b"], "left_anti")
-    close = checkpoint(close.union(_agreement(third, nodes)).where(F.col("agree") >= LEAST_AGREEMENT).select("a", "b"))
-
-    sets = checkpoint(_sets(kept, nodes.join(members.select("node").distinct(), "node", "left_semi")))
-    edges = checkpoint(_verified(close, sets))
-    comp = components(edges)
-
-    placed = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     part = F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("size") / BLOCK))
-    blocks = placed.join(mixed, "bucket").withColumn("part", part).join(nodes.select("node", "sig"), "node")
-    extra = checkpoint(_verified(_best_partners(blocks).distinct().join(close, ["a", "b"], "left_anti"), sets))
-    if extra.limit(1).count():
-        comp = components(edges.union(extra))
+    members = checkpoint(rows.join(shared, "bucket").select("bucket", "node", part.alias("part")), SMALL)
+    named = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    sets = checkpoint(_sets(kept, named), SMALL // 10)
+    signed = members.join(named.select("node", "sig"), "node")
+
+    tried = checkpoint(_partners(signed.withColumn("comp", F.lit(None).cast("long"))), SMALL)
+    comp = checkpoint(components(_verified(tried, sets)), SMALL)
+    while True:
+        placed = signed.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        mixed = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
+        more = checkpoint(_partners(placed.join(mixed, "bucket")).join(tried, ["a", "b"], "left_anti"), SMALL)
+        if not more.limit(1).count():
+            break
+        tried = tried.union(more)
+        # only components are linked here: edges become edges of components
+        own = comp.select(F.col("node").alias("a"), F.col("comp").alias("x"))
+        extra = _verified(more, sets).join(own, "a", "left").join(own.toDF("b", "y"), "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+        merged = checkpoint(components(extra), SMALL)
+        if not merged.limit(1).count():
+            break
+        renamed = comp.join(merged.toDF("comp", "to"), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+        alone = merged.toDF("node", "comp").join(comp, "node", "left_anti")
+        comp = checkpoint(renamed.union(alone), SMALL)
 
     named = nodes.select("k1", "k2", "node", "rep").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    least = named.groupBy("comp").agg(F.min("rep").alias("class_id"))
-    named = named.join(least, "comp").select("k1", "k2", "class_id", "comp")
-    out = sketch.select("doc_id", "h", "k1", "k2").join(named, ["k1", "k2"], "left")
+    least = named.groupBy("comp").agg(F.min("rep").alias("rep"))
+    named = named.drop("rep").join(least, "comp").select("k1", "k2", "comp", "rep")
+    out = sketch.select("doc_id", "h", "g", "k1", "k2").join(named, ["k1", "k2"], "left")
     size = out.where("comp is not null").groupBy("comp").agg(F.count("*").alias("n_class"))
-    return out.join(size, "comp", "left").select("doc_id", "h", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_class", F.lit(1)).alias("n_class"))
+    alone = F.col("comp").isNull()
+    best = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "h", "g") == F.col("rep")
+    return out.join(size, "comp", "left").select("doc_id", "h", "g", F.when(alone, F.col("doc_id")).otherwise(F.col("rep.doc_id")).alias("class_id"), F.coalesce("n_class", F.lit(1)).alias("n_class"), (alone | best).alias("kept"))
 
 
 def _sets(kept: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, set): the sorted shingle hashes of the nodes' texts."""
-    source = nodes.select("node", F.col("source.h").alias("h"), F.col("source.g").alias("g"))
+    source = nodes.select("node", F.col("rep.h").alias("h"), F.col("rep.g").alias("g"))
     texts = kept.join(source, ["h", "g"]).dropDuplicates(["h", "g"]).select("node", "text")
 
     def run(batches):
