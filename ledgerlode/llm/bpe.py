@@ -146,16 +146,12 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit integers."""
-        cut = [_CHUNK.findall(x) for x in texts]
-        new = {c for x in cut for c in x if c not in self.chunks}
-        if len(self.chunks) + len(new) > CACHE:
-            self.chunks.clear()
-            new = {c for x in cut for c in x}
-        parts = {c: [p.encode("utf-8", "surrogatepass") for p in self.pattern.findall(c)] for c in new}
+        return W.looked_up([_CHUNK.findall(x) for x in texts], self.chunks, CACHE, self._new)
+
+    def _new(self, chunks: list[str]) -> dict[str, bytes]:
+        parts = {c: [p.encode("utf-8", "surrogatepass") for p in self.pattern.findall(c)] for c in chunks}
         known = self.pieces(list({p for x in parts.values() for p in x}))
-        held = self.chunks
-        held.update((c, b"".join([known[p] for p in x])) for c, x in parts.items())
-        return [b"".join([held[c] for c in x]) for x in cut]
+        return {c: b"".join([known[p] for p in x]) for c, x in parts.items()}
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes that each list of ids stands for."""

@@ -51,6 +51,7 @@ _COUNT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).a
 #: Cuts that the tokenizer's own pre-tokenizer also makes: at white space, and after letters before these marks.
 _MARK, _GAP = r".,!?;:%&*#$|()", r" \t\n\r\f\v"
 _CHUNK = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ]+(?![^{_MARK}{_GAP}])|[{_MARK}]+(?![^{_GAP}])|[^{_GAP}]+")
+_WORD = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ]+|[{_MARK}]+")
 
 
 def pack(lengths: np.ndarray, ids: bytes, width: int) -> bytes:
@@ -124,17 +125,36 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.chunks: dict[str, bytes] = {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.lower = "Lowercase" in str(self.tokenizer.normalizer)
+
+    def _case(self, text: str) -> str:
+        """The text in lower case where that is what the tokenizer does to each of its characters anyway."""
+        if self.lower and not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+        return text.lower() if self.lower else text
+
+    def _new(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of distinct chunks. Runs of letters or marks are one word each: many are encoded at once and cut after the ids that end words."""
+        kind, out = f"<u{self.width}", {}
+        plain = [c for c in chunks if _WORD.fullmatch(c)] if self.ends.any() else []
+        if plain:
+            got = self.tokenizer.encode_batch_fast([" ".join(plain[i : i + 1000]) for i in range(0, len(plain), 1000)], add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, np.int64) for e in got])
+            cut = (np.flatnonzero(self.ends[ids]) + 1) * self.width
+            if len(cut) == len(plain):
+                data, cut = ids.astype(kind).tobytes(), cut.tolist()
+                out = {c: data[a:b] for c, a, b in zip(plain, [0, *cut], cut, strict=False)}
+        rest = [c for c in chunks if c not in out]
+        out.update((c, np.array(e.ids, kind).tobytes()) for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        cut = [_CHUNK.findall(x) for x in texts]
-        new = list({c for x in cut for c in x if c not in self.chunks})
-        if len(self.chunks) + len(new) > CACHE:
-            self.chunks.clear()
-            new = list({c for x in cut for c in x})
-        self.chunks.update((c, np.array(e.ids, kind).tobytes()) for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True))
-        held = self.chunks
-        return [b"".join([held[c] for c in x]) for x in cut]
+        return W.looked_up([_CHUNK.findall(self._case(x)) for x in texts], self.chunks, CACHE, self._new)
 
 
 @lru_cache(maxsize=1)

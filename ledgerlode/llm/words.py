@@ -96,3 +96,26 @@ def kgrams(h: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         out = out * np.uint64(0xD6E8FEB86659FD93) + h[j : j + len(out)]
     return mix(out + np.uint64(k))
+
+
+def looked_up(cut: list[list[str]], held: dict[str, bytes], limit: int, encode) -> list[bytes]:
+    """The joined bytes of each list of chunks: from ``held``, or by ``encode`` for chunks not met yet.
+
+    ``held`` is emptied before it would grow beyond ``limit`` entries. Chunks are looked up
+    once, without a Python step for each; only the gaps are filled one by one.
+    """
+    got = [list(map(held.get, x)) for x in cut]
+    gaps = []
+    for x, g in zip(cut, got, strict=True):
+        at = -1
+        for _ in range(g.count(None)):
+            at = g.index(None, at + 1)
+            gaps.append((g, at, x[at]))
+    new = list({c for _, _, c in gaps})
+    if len(held) + len(new) > limit:
+        held.clear()
+    fresh = encode(new)
+    held.update(fresh)
+    for g, at, c in gaps:
+        g[at] = fresh[c]
+    return [b"".join(g) for g in got]
