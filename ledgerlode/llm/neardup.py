@@ -16,8 +16,9 @@ hash of its own, and in a block the signatures' agreements give a spanning fores
 fewer pairs than members, so pairs grow with the rows and not with the square of a
 bucket. (4) These pairs are verified on their whole
 shingle sets. (5) Connected components. (6) In buckets that still hold several
-components, each member's best partner outside its own is verified, and components are
-made again, until that links nothing new.
+components, every pair of a block whose members lie in different ones and whose signatures
+agree in ``LEAST_AGREEMENT`` at least is verified, each in the first bucket it shares, and the
+links found join the components. The pairs stay inside the task, which gives back links only.
 
 A pair of similarity 0.8 shares a bucket with probability 0.9999. Members of a bucket
 over ``BLOCK`` meet in a block of some band with a probability that falls with its size,
@@ -136,6 +137,15 @@ def _sketch(kept: DataFrame) -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted shingle sets have a Jaccard similarity of at least ``THRESHOLD``."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    both = 0
+    if len(small) >= THRESHOLD * len(large):
+        both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return both >= THRESHOLD * (len(x) + len(y) - both) - 1e-9
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of at least ``THRESHOLD``."""
 
@@ -143,12 +153,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                both = 0
-                if len(small) >= THRESHOLD * len(large):
-                    both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-                keep.append(both >= THRESHOLD * (len(x) + len(y) - both) - 1e-9)
+                keep.append(similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)))
             yield batch.select([0, 1]).filter(pa.array(keep))
 
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
@@ -204,54 +209,129 @@ def forest(agree: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _partners(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) from blocks of (bucket, part, node, comp, sig).
+def _grouped(batches, width: int):
+    """The rows of each run of equal values in the first ``width`` columns, as a table."""
+    held, last = [], None
+    for batch in batches:
+        key = np.stack([batch.column(c).to_numpy() for c in range(width)])
+        cut = (np.flatnonzero((np.diff(key) != 0).any(0)) + 1).tolist()
+        for i, j in zip([0, *cut], [*cut, key.shape[1]], strict=True):
+            if i < j:
+                now = tuple(key[:, i])
+                if held and now != last:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                last = now
+                held.append(batch.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
 
-    Where comp is null throughout, the block's forest; else each member's best partner
-    with another comp.
-    """
 
-    def pairs(node, comp, sig):
-        agree = np.stack([(sig == x).mean(1) for x in sig])
-        np.fill_diagonal(agree, -1)
-        if comp is None:
-            found = forest(agree)
-        else:
-            agree[comp[:, None] == comp[None, :]] = -1
-            found = [(r, int(c)) for r, c in enumerate(agree.argmax(1)) if agree[r, c] >= LEAST_AGREEMENT]
-        return {(min(node[x], node[y]), max(node[x], node[y])) for x, y in found}
+def _signatures(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, K)
 
-    def run(batches):
-        held: list = []
 
-        def flush():
-            t = pa.Table.from_batches(held)
-            held.clear()
+def _partners(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the forests of the blocks of (bucket, part, node, sig)."""
+
+    def run(batches):
+        for t in _grouped(batches, 2):
             if t.num_rows < 2:
-                return None
-            comp = None if t["comp"].null_count else t["comp"].to_numpy()
-            found = pairs(t["node"].to_numpy(), comp, np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, K))
+                continue
+            node, sig = t["node"].to_numpy(), _signatures(t)
+            agree = np.stack([(sig == x).mean(1) for x in sig])
+            np.fill_diagonal(agree, -1)
+            found = {(min(node[x], node[y]), max(node[x], node[y])) for x, y in forest(agree)}
             if found:
-                return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
-        last = None
-        for batch in batches:
-            bucket, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cut = (np.flatnonzero((np.diff(bucket) != 0) | (np.diff(part) != 0)) + 1).tolist()
-            for i, j in zip([0, *cut], [*cut, len(bucket)], strict=True):
-                if i < j:
-                    key = (bucket[i], part[i])
-                    if key != last and held and (x := flush()):
-                        yield x
-                    last = key
-                    held.append(batch.slice(i, j - i))
-        if held and (x := flush()):
-            yield x
-
-    dealt = members.repartition("bucket", "part").sortWithinPartitions("bucket", "part").select("bucket", "part", "node", "comp", "sig")
+    dealt = members.repartition("bucket", "part").sortWithinPartitions("bucket", "part").select("bucket", "part", "node", "sig")
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def candidates(bucket: int, left: np.ndarray, right: np.ndarray, comp: np.ndarray, sig: np.ndarray, bands: np.ndarray):
+    """For each member r of ``left``, (r, members of ``right``), those that agree best first, that may be its links.
+
+    These lie in another component, agree with it in ``LEAST_AGREEMENT`` at least and share
+    no earlier band with it than that of ``bucket``. A pair comes once, also where left and right
+    are the same.
+    """
+    least = LEAST_AGREEMENT * K
+    other, theirs = sig[right], comp[right]
+    for r in left:
+        agree = np.count_nonzero(other == sig[r], axis=1)
+        some = (agree >= least) & (theirs != comp[r])
+        if left is right:
+            some &= right > r
+        at = np.flatnonzero(some)
+        at = at[np.argsort(-agree[at], kind="stable")]
+        at = right[at]
+        first = (bands[at] == bands[r]).argmax(1)
+        at = at[bands[r][first] == bucket]
+        if len(at):
+            yield int(r), at
+
+
+def links(bucket: int, left: np.ndarray, right: np.ndarray, comp: np.ndarray, sig: np.ndarray, bands: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of candidates with similar sets that join the components as all such pairs do."""
+    root = {c: c for c in comp.tolist()}
+
+    def top(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    out = []
+    for r, at in candidates(bucket, left, right, comp, sig, bands):
+        for c in at.tolist():
+            x, y = top(comp[r]), top(comp[c])
+            if x != y and similar(sets[r], sets[c]):
+                root[max(x, y)] = min(x, y)
+                out.append((r, c))
+    return out
+
+
+_UNIT = "bucket bigint, x bigint, y bigint, own bigint, node bigint, comp bigint, sig binary, bands array<bigint>"
+
+
+def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components inside the units (bucket, x, y) of ``members``, rows of ``_UNIT``.
+
+    A unit compares its members of part x with those of part y. Sets are fetched only for
+    members that have a candidate in their unit.
+    """
+
+    def parts(t):
+        own, x, y = t["own"].to_numpy(), t["x"][0].as_py(), t["y"][0].as_py()
+        left = np.flatnonzero(own == x)
+        right = left if x == y else np.flatnonzero(own == y)
+        bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        return t["bucket"][0].as_py(), left, right, t["comp"].to_numpy(), _signatures(t), bands
+
+    def open_members(batches):
+        for t in _grouped(batches, 3):
+            if t.num_rows > 1:
+                some = np.zeros(t.num_rows, bool)
+                for r, at in candidates(*parts(t)):
+                    some[r] = some[at] = True
+                if some.any():
+                    yield from t.filter(pa.array(some)).to_batches()
+
+    def linked(batches):
+        for t in _grouped(batches, 3):
+            own = [np.frombuffer(x.as_buffer(), np.uint64) for c in t["set"].chunks for x in c]
+            node = t["node"].to_numpy()
+            found = links(*parts(t), own)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(node[[x for x, _ in found]]), pa.array(node[[y for _, y in found]])], names=["a", "b"])
+
+    def dealt(df):
+        return df.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+
+    some = checkpoint(dealt(members).mapInArrow(open_members, _UNIT), SMALL // 5)
+    return dealt(some.join(sets, "node").select(*some.columns, "set")).mapInArrow(linked, "a bigint, b bigint").distinct()
+
+
 def keys(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
     """Two 64-bit hashes that name a row by its doc_id and whole text."""
     text = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -277,24 +357,19 @@ def classes(docs: DataFrame) -> DataFrame:
     sets = checkpoint(_sets(kept, named), SMALL // 10)
     signed = members.join(named.select("node", "sig"), "node")
 
-    tried = checkpoint(_partners(signed.withColumn("comp", F.lit(None).cast("long"))), SMALL)
+    tried = checkpoint(_partners(signed), SMALL)
     comp = checkpoint(components(_verified(tried, sets)), SMALL)
-    while True:
-        placed = signed.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        mixed = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-        more = checkpoint(_partners(placed.join(mixed, "bucket")).join(tried, ["a", "b"], "left_anti"), SMALL)
-        if not more.limit(1).count():
-            break
-        tried = tried.union(more)
-        # only components are linked here: edges become edges of components
-        own = comp.select(F.col("node").alias("a"), F.col("comp").alias("x"))
-        extra = _verified(more, sets).join(own, "a", "left").join(own.toDF("b", "y"), "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
-        merged = checkpoint(components(extra), SMALL)
-        if not merged.limit(1).count():
-            break
-        renamed = comp.join(merged.toDF("comp", "to"), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
-        alone = merged.toDF("node", "comp").join(comp, "node", "left_anti")
-        comp = checkpoint(renamed.union(alone), SMALL)
+    placed = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
+    units = placed.join(mixed, "bucket").select("bucket", F.col("part").alias("x"), F.col("part").alias("y"), F.col("part").alias("own"), "node", "comp")
+    found = _across(units.join(named.select("node", "sig", "bands"), "node").select(*units.columns, "sig", "bands"), sets)
+    # only components are linked here: edges become edges of components
+    own = comp.select(F.col("node").alias("a"), F.col("comp").alias("x"))
+    extra = found.join(own, "a", "left").join(own.toDF("b", "y"), "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    merged = checkpoint(components(extra), SMALL)
+    renamed = comp.join(merged.toDF("comp", "to"), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    alone = merged.toDF("node", "comp").join(comp, "node", "left_anti")
+    comp = checkpoint(renamed.union(alone), SMALL)
 
     named = nodes.select("k1", "k2", "node", "rep").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("rep").alias("rep"))

@@ -46,6 +46,47 @@ def test_neardup(docs, empty):
     assert neardup.classes(empty).count() == 0
 
 
+def family(seed, n, spread, shared=200):
+    """Texts of one template with own words in its middle, so that similarities lie on both sides of the threshold."""
+    import random
+
+    rng = random.Random(seed)
+    template = [f"w{i}" for i in range(shared)]
+    texts = []
+    for k in range(n):
+        own = [f"d{k}x{i}" for i in range(rng.randrange(*spread))]
+        texts.append(" ".join(template[:100] + own + template[100:]))
+    return texts
+
+
+def brute_classes(texts):
+    sets = [set(zip(*(t.split()[i:] for i in range(5)), strict=False)) for t in texts]
+    up = list(range(len(texts)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = top(i), top(j)
+                up[max(a, b)] = min(a, b)
+    return [top(i) for i in range(len(texts))]
+
+
+def found_classes(spark, texts):
+    rows = neardup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    return [c for _, c in sorted((r.doc_id, r.class_id) for r in rows)]
+
+
+def test_neardup_near_threshold(spark):
+    texts = family(1, 200, (14, 36))
+    assert found_classes(spark, texts) == brute_classes(texts)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(50, 40), (40, 45)]
     got = {r.node: r.comp for r in neardup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
