@@ -16,13 +16,14 @@ hash of its own, and in a block the signatures' agreements give a spanning fores
 fewer pairs than members, so pairs grow with the rows and not with the square of a
 bucket. (4) These pairs are verified on their whole
 shingle sets. (5) Connected components. (6) In buckets that still hold several
-components, every pair of a block whose members lie in different ones and whose signatures
+components, every pair whose members lie in different ones and whose signatures
 agree in ``LEAST_AGREEMENT`` at least is verified, each in the first bucket it shares, and the
 links found join the components. The pairs stay inside the task, which gives back links only.
+A bucket over ``TILE`` is cut into parts, and each two parts (and each with itself) are a
+unit of work, so all its members meet whatever its size; its rows are repeated once a part.
 
-A pair of similarity 0.8 shares a bucket with probability 0.9999. Members of a bucket
-over ``BLOCK`` meet in a block of some band with a probability that falls with its size,
-but need only be linked through others; measured recall is in the README.
+A pair of similarity 0.8 shares a bucket with probability 0.9999, and every pair that shares
+one is compared or lies in one component already; measured recall is in the README.
 
 Null texts and texts without words are classes of their own. Rows with a
 repeated doc_id each get a row. A class's id is its least doc_id; null ids are
@@ -47,6 +48,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
 K = BANDS * ROWS
 BLOCK = 512
+#: Members of each part of a large bucket where all its pairs are compared.
+TILE = 1024
 #: Rows of node ids for each task of the later steps.
 SMALL = 50_000
 #: Signatures of a pair of similarity 0.8 agree in less than this part with probability 1e-7.
@@ -352,7 +355,7 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     part = F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("size") / BLOCK))
-    members = checkpoint(rows.join(shared, "bucket").select("bucket", "node", part.alias("part")), SMALL)
+    members = checkpoint(rows.join(shared, "bucket").select("bucket", "node", "size", part.alias("part")), SMALL)
     named = nodes.join(members.select("node").distinct(), "node", "left_semi")
     sets = checkpoint(_sets(kept, named), SMALL // 10)
     signed = members.join(named.select("node", "sig"), "node")
@@ -361,7 +364,9 @@ def classes(docs: DataFrame) -> DataFrame:
     comp = checkpoint(components(_verified(tried, sets)), SMALL)
     placed = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-    units = placed.join(mixed, "bucket").select("bucket", F.col("part").alias("x"), F.col("part").alias("y"), F.col("part").alias("own"), "node", "comp")
+    tiles = F.ceil(F.col("size") / TILE)
+    units = placed.join(mixed, "bucket").select("bucket", "node", "comp", F.pmod(F.xxhash64("node", "bucket"), tiles).alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)).alias("other"))
+    units = units.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "comp")
     found = _across(units.join(named.select("node", "sig", "bands"), "node").select(*units.columns, "sig", "bands"), sets)
     # only components are linked here: edges become edges of components
     own = comp.select(F.col("node").alias("a"), F.col("comp").alias("x"))

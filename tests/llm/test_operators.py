@@ -87,6 +87,17 @@ def test_neardup_near_threshold(spark):
     assert found_classes(spark, texts) == brute_classes(texts)
 
 
+def test_neardup_in_cut_buckets(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "TILE", 16, raising=False)
+    texts = []
+    for k in range(12):  # in each family two short texts are linked, and only with each other
+        some = family(k, 58, (30, 40)) + family(100 + k, 2, (15, 16))
+        some[-2:] = [t.replace("d", "e") for t in some[-2:]]
+        texts += [t.replace("w", f"f{k}w").replace("d", f"f{k}d") for t in some]
+    assert found_classes(spark, texts) == brute_classes(texts)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(50, 40), (40, 45)]
     got = {r.node: r.comp for r in neardup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
