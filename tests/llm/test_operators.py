@@ -201,6 +201,25 @@ def test_nearest_neighbours(spark):
     assert ann.search(df.where("1 = 0"), df.where("1 = 0")).count() == 0
 
 
+def test_nearest_neighbours_over_one_block(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((6000, 64))
+    x[:2000] = rng.standard_normal(64) + 0.3 * x[:2000]
+    x[2000:4000] = rng.standard_normal((20, 64))[rng.integers(0, 20, 2000)] + 0.4 * x[2000:4000]
+    x = (x * rng.uniform(0.5, 2, (6000, 1))).astype(np.float32)
+    assert len(x) > ann.BLOCK
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id bigint, embedding array<float>")
+    got = {(r.query_id, r.vec_id) for r in ann.search(df, df.where("vec_id % 30 = 0")).collect()}
+    hit = 0
+    for q in range(0, 6000, 30):
+        s = x.astype(float) @ x[q].astype(float)
+        s[q] = -np.inf
+        hit += sum((q, int(i)) in got for i in np.argsort(-s, kind="stable")[:20])
+    assert hit >= 0.9 * 20 * 200
+
+
 def test_pipeline(spark, docs, empty, tmp_path):
     import corpus_pipeline as p
 
