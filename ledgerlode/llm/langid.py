@@ -9,7 +9,7 @@ these features (one language against the rest). A batch of texts is scored by tw
 matrix products, with presence rows kept only for n-grams that landmarks hold.
 
 Training reads at most ``PER_LANG`` texts of each of the ``LANGS`` most frequent
-languages, those of least hash, a bounded sample; every text is scored whole, and
+languages, those of least hash and repeated rows once, a bounded sample; every text is scored whole, and
 tasks hold one slice of texts.
 
 Null texts and texts without a letter are ``und`` with score 0. Ties go to the
@@ -101,14 +101,17 @@ class Model:
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     """A model from a bounded sample of the rows of ``docs`` with doc_id, text and lang."""
-    named = docs.where("text is not null and lang is not null and doc_id is not null").select(F.col("lang").cast("string"), "doc_id", F.xxhash64("doc_id").alias("h"))
+    text = F.col("text").cast("string")
+    named = docs.where("text is not null and lang is not null and doc_id is not null").select(F.col("lang").cast("string"), "doc_id", F.xxhash64(text).alias("t"), text.alias("text"))
     names = [r[0] for r in named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()]
     if not names:
         return None
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    some = named.where(F.col("lang").isin(names)).withColumn("n", rank).where(F.col("n") <= per_lang)
-    ids = sorted({r.doc_id for r in some.select("doc_id").collect()})
-    rows = docs.where(F.col("doc_id").isin(ids) & F.col("lang").isin(names) & F.col("text").isNotNull()).select(F.col("text").cast("string"), F.col("lang").cast("string"), "doc_id").orderBy("doc_id", "lang", "text").limit(per_lang * len(names))
+    named = named.where(F.col("lang").isin(names))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "t"))
+    some = named.select("lang", "doc_id", "t").distinct().withColumn("n", rank).where(F.col("n") <= per_lang).drop("n").collect()
+    ids = sorted({r.doc_id for r in some})
+    wanted = docs.sparkSession.createDataFrame(some, named.select("lang", "doc_id", "t").schema)
+    rows = named.where(F.col("doc_id").isin(ids)).join(F.broadcast(wanted), ["lang", "doc_id", "t"], "left_semi").dropDuplicates(["lang", "doc_id", "t"]).orderBy("doc_id", "lang", "text")
     rows = [r for r in rows.collect() if _LETTER.search(r.text)]
     return Model.fit([r.text for r in rows], [r.lang for r in rows]) if rows else None
 

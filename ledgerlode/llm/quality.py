@@ -13,14 +13,14 @@ one slice of them.
 
 Null and empty texts are scored as any other, from the terms for repetition alone.
 Ties between neighbours go to the earlier labelled vector. Without labels the score
-is 0.5. A doc_id with several labels counts with each.
+is 0.5. A doc_id with several labels counts with each; repeated rows count once.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
@@ -108,7 +108,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from the texts of ``docs`` that ``labels`` (doc_id, quality) marks; ``sample`` of them at most."""
-    marked = labels.where("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    marked = labels.where("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     some = marked.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "quality").limit(sample).collect()
     if not some:
         return None
@@ -120,7 +120,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([x.astype("<f4").tobytes() for x in terms(batch.column(1).slice(i, j - i))], pa.binary())], names=["doc_id", "x"])
 
     texts = docs.where(F.col("doc_id").isin(ids)).select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = texts.mapInArrow(run, "doc_id bigint, x binary").orderBy("doc_id", "x").limit(2 * sample).collect()
+    # a doc_id's further texts come after the first of every other, so they can't crowd those out
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("x"))
+    held = texts.mapInArrow(run, "doc_id bigint, x binary").distinct().withColumn("n", nth).orderBy("n", "doc_id", "x")
+    rows = held.select("doc_id", "x").limit(2 * sample).collect()
     by: dict[int, list[int]] = {}
     for r in some:
         by.setdefault(r.doc_id, []).append(r.quality)

@@ -175,6 +175,14 @@ def test_language_and_quality(spark, docs, empty):
     assert quality.fit(plain, labels.where("1 = 0")) is None
 
 
+def test_training_is_not_filled_by_copies(spark):
+    rows = [(1, f"{' '.join(WORDS[:9])} thing", "xx")] * 60 + [(i, f"schön zeit über {WORDS[i]}", "yy") for i in range(2, 8)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert set(langid.fit(df, per_lang=5).langs) == {"xx", "yy"}
+    labels = spark.createDataFrame([(1, 1)] * 40 + [(i, 0) for i in range(2, 8)], "doc_id bigint, quality int")
+    assert sorted(quality.fit(df, labels, sample=7).labels.tolist()) == [0.0] * 6 + [1.0]
+
+
 def test_html(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "<p>x"), (3, "<p>x"), (4, "<nav>" * 2000 + "<p>deep")], "page_id bigint, html string")
     rows = html_blocks.extract(df, html_blocks.fit(df), ["page_id"]).collect()
