@@ -24,9 +24,12 @@ def _packed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the quality classifier predicts as 0."""
+    """Drops documents that the quality classifier predicts as 0; without labels to learn from, keeps all."""
+    model = quality.training(spark, sf_dir)
+    if model is None:
+        return docs
     rows, name = _packed(docs)
-    return quality.assess(rows, quality.training(spark, sf_dir), [name]).where("predicted = 1").select(f"{name}.*")
+    return quality.assess(rows, model, [name]).where("predicted = 1").select(f"{name}.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

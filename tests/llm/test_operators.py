@@ -243,3 +243,12 @@ def test_pipeline(spark, docs, empty, tmp_path):
     for f in (p.one_of_each, p.without_pii, p.without_benchmark):
         assert f(spark, table.where("1 = 0"), str(tmp_path)).count() == 0
     assert len(p.STAGES) == 5
+
+
+def test_pipeline_without_labels(spark, docs, tmp_path):
+    import corpus_pipeline as p
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert p.keep_good(spark, docs, str(tmp_path)).count() == len(ROWS)
+    assert p.keep_good(spark, docs.where("1 = 0"), str(tmp_path)).count() == 0
