@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +57,49 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def crc_mod(column: str, m: int):
     """crc32 of a column as text, mod ``m``; null counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % m
+
+
+_state: dict = {}
+
+
+def worker_state(key: tuple, make):
+    """What a task's Python worker keeps from one task to the next: ``make()``, made once for a ``key``.
+
+    Workers serve tasks of one stage after the other, so what another key left there is
+    dropped first and its memory given back to the system.
+    """
+    if key not in _state:
+        _state.clear()
+        release()
+        _state[key] = make()
+    return _state[key]
+
+
+def release() -> None:
+    """Gives memory that Python, Arrow and the allocator hold unused back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def bounded(batches, state: tuple | None = None):
+    """The batches of a task that keeps no state of its own in the worker: another operator's is dropped first."""
+    worker_state(state or ("none",), lambda: None)
+    yield from batches
+    release()
+
+
+def kept_columns(df: DataFrame, keep: list[str], column: str, added: dict[str, str], kind: str = "string") -> tuple[DataFrame, str]:
+    """The ``keep`` columns with ``column`` cast to ``kind`` last, and the schema of ``keep`` with the ``added`` columns.
+
+    A kept column with the name of an added one, in any case, raises, as the result would have two of them.
+    """
+    clash = {c.lower() for c in keep} & {c.lower() for c in added}
+    if clash:
+        raise ValueError(f"the result has columns of its own named {', '.join(sorted(clash))}; rename what is kept")
+    (last,) = fresh(df.select(*(f"`{c}`" for c in keep)), "text")
+    kept = df.select(*(F.col(f"`{c}`") for c in keep), F.col(column).cast(kind).alias(last))
+    return kept, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]] + [f"{k} {v}" for k, v in added.items()])

@@ -15,7 +15,9 @@ are scanned once and never shuffled.
 
 Null and empty texts have no words: n_words, n_hit and n_items are 0. A null
 item id counts as the empty string; repeated items and ids count once. An empty
-benchmark marks nothing.
+benchmark marks nothing, an empty table of documents gives no rows and repeated documents
+are marked each. Columns to keep may have any name but those that are added; a clash raises
+``ValueError``.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
-from ledgerlode.llm.common import table
+from ledgerlode.llm.common import bounded, kept_columns, table
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -144,11 +146,10 @@ def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int
     hits: array of struct<first, last>, the runs of hit words by their index in the text.
     """
     blocks = _blocks(benchmark, window, block_bytes)
-    kept = docs.select(*keep, F.col("text").cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]) + ", n_words bigint, n_hit bigint, items array<string>, hits array<struct<first:bigint,last:bigint>>"
+    kept, schema = kept_columns(docs, keep, "text", {"n_words": "bigint", "n_hit": "bigint", "items": "array<string>", "hits": "array<struct<first:bigint,last:bigint>>"})
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             text = batch.column(batch.num_columns - 1)
             for i, j in W.slices(text):
                 h, first = W.word_hashes(*W.utf8(text.slice(i, j - i)))
@@ -157,7 +158,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int
                     for x in held.value:
                         _find(h, first, x, hit, items)
                     if len(blocks) > 1:  # one block in memory at a time
-                        held.__dict__.pop("_value", None)
+                        vars(held).pop("_value", None)  # loaded anew from the executor's copy of the broadcast
                 count = np.concatenate([[0], np.cumsum(hit)])
                 runs = [_runs(hit[a:b]) if count[b] > count[a] else [] for a, b in zip(first[:-1], first[1:], strict=True)]
                 own = [batch.column(c).slice(i, j - i) for c in range(batch.num_columns - 1)]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
-from ledgerlode.llm.common import table
+from ledgerlode.llm.common import bounded, kept_columns, table
 
 PAGES, COPIES, EPOCHS = 150, 4, 8
 PATH, WORD, EXTRA, HIDDEN = 128, 32, 6, 16
@@ -317,14 +317,13 @@ def fit(pages: DataFrame, sample: int = PAGES) -> Labeller | None:
 
 def extract(pages: DataFrame, model: Labeller | None, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``pages`` with text, the main text of the whole ``html``."""
-    kept = pages.select(*keep, F.col("html").cast("string").alias("__html"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]) + ", text string"
+    kept, schema = kept_columns(pages, keep, "html", {"text": "string"})
     sent = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             source = batch.column(batch.num_columns - 1)
-            for i, j in W.slices(source, 2 << 20):
+            for i, j in W.slices(source):
                 got = [leaves(x) if x else [] for x in source.slice(i, j - i).to_pylist()]
                 marks = sent.value.label(got) if sent.value else [np.zeros(len(p), bool) for p in got]
                 text = [" ".join(x[1] for x, keep in zip(p, m, strict=True) if keep) for p, m in zip(got, marks, strict=True)]

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
-from ledgerlode.llm.common import checkpoint, table
+from ledgerlode.llm.common import bounded, checkpoint, table
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -119,9 +119,9 @@ def _sketch(kept: DataFrame) -> DataFrame:
     schema = "doc_id bigint, h bigint, g bigint, k1 bigint, k2 bigint, sig binary, bands array<bigint>"
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             text = batch.column(3)
-            for i, j in W.slices(text, 2 << 20):
+            for i, j in W.slices(text):
                 h, first = W.word_hashes(*W.utf8(text.slice(i, j - i)))
                 rows = np.flatnonzero(np.diff(first))
                 sets = [shingles(h[first[r] : first[r + 1]]) for r in rows]
@@ -392,8 +392,8 @@ def _sets(kept: DataFrame, nodes: DataFrame) -> DataFrame:
     texts = kept.join(source, ["h", "g"]).dropDuplicates(["h", "g"]).select("node", "text")
 
     def run(batches):
-        for batch in batches:
-            for i, j in W.slices(batch.column(1), 2 << 20):
+        for batch in bounded(batches):
+            for i, j in W.slices(batch.column(1)):
                 h, first = W.word_hashes(*W.utf8(batch.column(1).slice(i, j - i)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([shingles(h[a:b]).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())], names=["node", "set"])
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
-from ledgerlode.llm.common import crc_mod, table
+from ledgerlode.llm.common import bounded, crc_mod, kept_columns, table
 
 SAMPLE, DIMS, NEIGHBOURS, POWER = 6000, 48, 15, 8
 CUT = 0.7
@@ -115,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     ids = sorted({r.doc_id for r in some})
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             for i, j in W.slices(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([x.astype("<f4").tobytes() for x in terms(batch.column(1).slice(i, j - i))], pa.binary())], names=["doc_id", "x"])
 
@@ -135,14 +135,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
 
 def assess(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``docs`` with score and predicted for the whole ``text``."""
-    kept = docs.select(*keep, F.col("text").cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]) + ", score double, predicted int"
+    kept, schema = kept_columns(docs, keep, "text", {"score": "double", "predicted": "int"})
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             text = batch.column(batch.num_columns - 1)
-            for i, j in W.slices(text, 2 << 20):
+            for i, j in W.slices(text):
                 score = sent.value.score(terms(text.slice(i, j - i))) if sent.value else np.full(j - i, 0.5)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(batch.num_columns - 1)), pa.array(score), pa.array((score >= CUT).astype(np.int32))], names=[*batch.schema.names[:-1], "score", "predicted"])
 

@@ -23,6 +23,9 @@ _LOWER[0x41:0x5B] += 32
 _CODE = (np.random.default_rng(20240229).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[_LOWER]
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
+#: Words are hashed in blocks of about so many bytes, cut between words, so that no array grows with a text.
+BLOCK = 1 << 18
+#: Powers kept from call to call; longer runs (a single word of more bytes) are computed each time.
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -39,11 +42,11 @@ def _power(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) mod 2**64."""
     held = _powers.get(base)
     if held is None or len(held) < n:
-        size = max(n, 1 << 16)
+        size = max(n, 1 << 12)
         held = np.full(size, np.uint64(base))
         held[0] = 1
         held = np.multiply.accumulate(held)
-        if size <= 1 << 23:
+        if size <= 2 * BLOCK:
             _powers[base] = held
     return held[:n]
 
@@ -56,7 +59,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0] : off[-1]], off - off[0]
 
 
-def slices(column: pa.Array, limit: int = 4 << 20):
+def slices(column: pa.Array, limit: int = 1 << 20):
     """Row ranges (begin, end) of about ``limit`` bytes of text; one row at least."""
     a = column.cast(pa.large_string()).fill_null("")
     off = np.frombuffer(a.buffers()[1], np.int64)[a.offset : a.offset + len(a) + 1]
@@ -70,22 +73,43 @@ def slices(column: pa.Array, limit: int = 4 << 20):
 def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and for each text where its words begin."""
     n = len(data)
-    if not n:
+    hashes, starts, i = [], [], 0
+    while i < n:
+        j = min(n, i + BLOCK)
+        while j < n:  # the next place where no word goes on: a byte that isn't a word's, or the head of a text
+            step = np.flatnonzero(~_WORD[data[j : j + BLOCK]])
+            stop = j + int(step[0]) if len(step) else min(n, j + BLOCK)
+            head = int(np.searchsorted(off, j))
+            found = len(step) > 0
+            if head < len(off) and off[head] <= stop:
+                stop, found = int(off[head]), True
+            j = stop
+            if found:
+                break
+        h, start = _block_hashes(data[i:j], off[np.searchsorted(off, i) : np.searchsorted(off, j)] - i)
+        hashes.append(h)
+        starts.append(start + i)
+        i = j
+    if not hashes:
         return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), off)
+
+
+def _block_hashes(data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the words of one block; ``heads``: where texts begin in it."""
     mask = _WORD[data]
     begin = mask.copy()
     begin[1:] &= ~mask[:-1]
-    heads = off[:-1][off[:-1] < n]
     begin[heads] |= mask[heads]
     start = np.flatnonzero(begin)
     last = mask.copy()
     last[:-1] &= ~mask[1:] | begin[1:]
     end = np.flatnonzero(last)
-    total = np.cumsum(_CODE[data] * _power(_BASE, n))
+    total = np.cumsum(_CODE[data] * _power(_BASE, len(data)))
     h = total[end]
     h[start > 0] -= total[start[start > 0] - 1]
-    h = h * _power(_INVERSE, n)[start]
-    return mix(h + (end - start).astype(np.uint64)), np.searchsorted(start, off)
+    h = h * _power(_INVERSE, len(data))[start]
+    return mix(h + (end - start).astype(np.uint64)), start
 
 
 def kgrams(h: np.ndarray, k: int) -> np.ndarray:
@@ -98,24 +122,37 @@ def kgrams(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out + np.uint64(k))
 
 
-def looked_up(cut: list[list[str]], held: dict[str, bytes], limit: int, encode) -> list[bytes]:
-    """The joined bytes of each list of chunks: from ``held``, or by ``encode`` for chunks not met yet.
-
-    ``held`` is emptied before it would grow beyond ``limit`` entries. Chunks are looked up
-    once, without a Python step for each; only the gaps are filled one by one.
-    """
-    got = [list(map(held.get, x)) for x in cut]
-    gaps = []
-    for x, g in zip(cut, got, strict=True):
-        at = -1
-        for _ in range(g.count(None)):
-            at = g.index(None, at + 1)
-            gaps.append((g, at, x[at]))
-    new = list({c for _, _, c in gaps})
-    if len(held) + len(new) > limit:
-        held.clear()
-    fresh = encode(new)
-    held.update(fresh)
-    for g, at, c in gaps:
-        g[at] = fresh[c]
-    return [b"".join(g) for g in got]
+class Chunks:
+    """Encoded chunks of text, emptied before they take more than ``limit`` bytes."""
+
+    #: About what an entry takes beside its characters and ids.
+    ENTRY = 200
+
+    def __init__(self, limit: int):
+        self.held: dict[str, bytes] = {}
+        self.limit, self.size = limit, 0
+
+    def encode(self, cut: list[list[str]], encode) -> list[bytes]:
+        """The joined bytes of each list of chunks: those held, or by ``encode`` for chunks not met yet.
+
+        Chunks are looked up without a Python step for each; only the gaps are filled one by one.
+        """
+        got = [list(map(self.held.get, x)) for x in cut]
+        gaps = []
+        for x, g in zip(cut, got, strict=True):
+            at = -1
+            for _ in range(g.count(None)):
+                at = g.index(None, at + 1)
+                gaps.append((g, at, x[at]))
+        new = list({c for _, _, c in gaps})
+        fresh = encode(new)
+        size = sum(map(len, new)) + sum(map(len, fresh.values())) + self.ENTRY * len(new)
+        if self.size + size > self.limit:
+            self.held.clear()
+            self.size = 0
+        if size <= self.limit:
+            self.held.update(fresh)
+            self.size += size
+        for g, at, c in gaps:
+            g[at] = fresh[c]
+        return [b"".join(g) for g in got]
