@@ -4,28 +4,35 @@ Encoding: the pre-tokenizer's pattern cuts a text into pieces. Every piece that
 this worker hasn't met yet goes, as one row for each byte position, through a
 recursive query: the rows join the merge table with their right neighbour, each
 piece's leftmost pair of least rank is contracted, and pieces without a pair
-drop out, until none is left. Decoding: the ids' rows join the vocabulary and an
+drop out, until none is left. The recursion is keyed by the piece, so only the last
+level of each is held. Decoding: the ids' rows join the vocabulary and an
 aggregation ordered by position puts the bytes together again.
 
-Pieces over ``LONG`` bytes contract all places of the least-ranked pair in one
-step, from the left, as the number of steps would grow with their length. That
-is the same as one place at a time as long as ranks only rise from step to step;
-a piece in which they don't is done again one place at a time.
+Pieces over ``LONG`` bytes are cut first where no token of the vocabulary matches the
+bytes across a place: no contraction can ever cross it, so the parts are encoded
+independently. Parts still over ``LONG`` contract all places of the least-ranked pair in
+one step, from the left, up to the first whose token makes a pair of lower rank with a
+neighbour; that is what one place at a time would do, in as many steps as there are ranks
+and such places. So a text without any such cut and with very many such places is slow,
+but never held more than once.
 
 Texts are first cut where white space follows other text; the pattern never
 matches across such a place, so these chunks are encoded independently and kept
-in a dictionary of at most ``CACHE`` entries, which is emptied when full. Memory
-is bounded by that and by the slice of ``words.slices``; nothing is shuffled.
+in a dictionary of at most ``CACHE`` bytes, which is emptied when full. Memory
+is bounded by that, by the slice of ``words.slices`` and by the longest text; nothing is
+shuffled.
 
 Null and empty texts have no ids. Any text is encoded, with the special tokens'
-strings as ordinary text.
+strings as ordinary text. Repeated rows are encoded each; an empty table gives no rows.
+Columns to keep may have any name but those that are added; a clash raises ``ValueError``.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-from functools import lru_cache
+import os
+import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -33,51 +40,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
-from ledgerlode.llm.common import table
+from ledgerlode.llm.common import kept_columns, table, worker_state
 
 LONG = 40
-CACHE = 700_000
-BATCH = 40_000
+CACHE = 96 << 20
+#: Bytes of pieces in one recursive query.
+BATCH = 200_000
 
 #: White_Space of Unicode, the pattern's \s; fixed values.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
-_STEP = """
-WITH RECURSIVE s(depth, w, i, t, r) AS (
-  SELECT 0, w, i, t, -1 FROM pieces
-  UNION ALL
-  SELECT depth + 1, w, i, t, r FROM (
-    SELECT depth, w, i, CASE WHEN place THEN m ELSE t END AS t, least_m AS r, coalesce(lag(place) OVER (PARTITION BY w ORDER BY i), false) AS gone
-    FROM ({place}) z
-  ) WHERE NOT gone
-)
-"""
-_PAIRS = """
-  SELECT p.depth, p.w, p.i, p.t, m.m, min({key}) OVER (PARTITION BY p.w) AS best, {key} AS k
-  FROM (SELECT depth, w, i, t, lead(t) OVER (PARTITION BY w ORDER BY i) AS n FROM s) p LEFT JOIN merges m ON p.t = m.l AND p.n = m.r
-"""
 #: One contraction a piece and step: the key has the rank, then the position.
 ONE = """
-WITH RECURSIVE s(depth, w, t) AS (
-  SELECT 0, w, list(t ORDER BY i) FROM pieces GROUP BY w
-  UNION ALL
-  SELECT depth + 1, w, list_concat(t[:(k & 4294967295) - 1], [(k >> 32)::INTEGER], t[(k & 4294967295) + 2:])
+WITH RECURSIVE s(w, t) USING KEY (w) AS (
+  SELECT w, list(t ORDER BY i) FROM pieces GROUP BY w
+  UNION
+  SELECT w, list_concat(t[:(k & 4294967295) - 1], [(k >> 32)::INTEGER], t[(k & 4294967295) + 2:])
   FROM s JOIN (
     SELECT w, min((m.m::BIGINT << 32) | p.i) AS k
     FROM (SELECT w, unnest(t) AS l, unnest(t[2:]) AS n, generate_subscripts(t, 1) AS i FROM s) p JOIN merges m ON m.l = p.l AND m.r = p.n
     GROUP BY w) USING (w)
 )
-SELECT w, arg_max(t, depth) AS t FROM s GROUP BY w ORDER BY w
+SELECT w, t FROM s ORDER BY w
 """
-#: All places of the least pair: of neighbouring places, each second one, from the left.
-ALL = _STEP.format(
-    place="SELECT depth, w, i, t, m, best AS least_m, hit AND row_number() OVER (PARTITION BY w, hit, o - c ORDER BY i) % 2 = 1 AS place FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY i) AS o, row_number() OVER (PARTITION BY w, hit ORDER BY i) AS c FROM (SELECT *, k IS NOT NULL AND k = best AS hit FROM ("
-    + _PAIRS.format(key="m.m::BIGINT")
-    + ") WHERE best IS NOT NULL))"
+#: All places of the least pair: of neighbouring places, each second one, up to the first whose token (``best``)
+#: makes a pair of lower rank (a row of ``falls``) with the token before or after it.
+ALL = """
+WITH RECURSIVE s(w, t) USING KEY (w) AS (
+  SELECT w, list(t ORDER BY i) FROM pieces GROUP BY w
+  UNION
+  SELECT w, list(CASE WHEN done THEN best ELSE t END ORDER BY i) FILTER (NOT gone) FROM (
+    SELECT w, i, t, best, done, coalesce(lag(done) OVER (PARTITION BY w ORDER BY i), false) AS gone FROM (
+      SELECT w, i, t, best, place AND i <= coalesce(min(CASE WHEN place AND fall THEN i END) OVER (PARTITION BY w), i) AS done FROM (
+        SELECT y.*, place AND (a.m IS NOT NULL OR b.m IS NOT NULL) AS fall FROM (
+          SELECT w, i, t, best, place, CASE WHEN lag(place, 2) OVER o THEN best ELSE lag(t) OVER o END AS before, lead(t, 2) OVER o AS after FROM (
+            SELECT w, i, t, best, hit AND row_number() OVER (PARTITION BY w, hit, i - c ORDER BY i) % 2 = 1 AS place FROM (
+              SELECT w, i, t, best, hit, row_number() OVER (PARTITION BY w, hit ORDER BY i) AS c FROM (
+                SELECT w, i, t, best, coalesce(m = best, false) AS hit FROM (
+                  SELECT w, i, t, m, min(m) OVER (PARTITION BY w) AS best FROM (
+                    SELECT p.w, p.i, p.t, m.m
+                    FROM (SELECT w, unnest(t) AS t, unnest(list_append(t[2:], NULL)) AS n, generate_subscripts(t, 1) AS i FROM s) p
+                    LEFT JOIN merges m ON p.t = m.l AND p.n = m.r))
+                WHERE best IS NOT NULL)))
+          WINDOW o AS (PARTITION BY w ORDER BY i)) y
+        LEFT JOIN falls a ON a.l = y.before AND a.r = y.best LEFT JOIN falls b ON b.l = y.best AND b.r = y.after)))
+  GROUP BY w
 )
-_LAST = "SELECT w, i, t FROM (SELECT *, max(depth) OVER (PARTITION BY w) AS top FROM s) WHERE depth = top ORDER BY w, i"
-_FELL = "SELECT DISTINCT w FROM (SELECT w, depth, any_value(r) AS r, lag(any_value(r)) OVER (PARTITION BY w ORDER BY depth) AS q FROM s GROUP BY w, depth) WHERE r < q"
+SELECT w, t FROM s ORDER BY w
+"""
 _DECODE = "SELECT d, string_agg(b, '' ORDER BY p) AS b FROM ids JOIN vocabulary USING (t) GROUP BY d"
 
 
@@ -86,6 +97,51 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+class Trie:
+    """Which places inside a run of bytes some token of a vocabulary matches across."""
+
+    def __init__(self, tokens):
+        tokens = [t for t in tokens if len(t) > 1]
+        self.depth = max(map(len, tokens), default=1)
+        step = np.uint64(0x9E3779B97F4A7C15)
+        hashes = lambda some: np.unique(np.array([self._hash(t) for t in some], np.uint64))
+        self.step = step
+        self.prefixes = [hashes({t[:k] for t in tokens if len(t) >= k}) for k in range(1, self.depth + 1)]
+        self.whole = [hashes({t for t in tokens if len(t) == k}) for k in range(1, self.depth + 1)]
+
+    @staticmethod
+    def _hash(token: bytes) -> int:
+        h = 0
+        for b in token:
+            h = (h * 0x9E3779B97F4A7C15 + b + 1) % 2**64
+        return h
+
+    @staticmethod
+    def _among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+        if not len(known):
+            return np.zeros(len(h), bool)
+        return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+
+    def cuts(self, piece: bytes) -> list[bytes]:
+        """The piece cut at all places that no token matches across; hashes that collide only leave a cut out."""
+        data = np.frombuffer(piece, np.uint8).astype(np.uint64) + np.uint64(1)
+        n = len(data)
+        crossed = np.zeros(n + 1, np.int64)
+        at, h = np.arange(n), data.copy()
+        for k in range(2, self.depth + 1):
+            keep = at + k <= n
+            at, h = at[keep], h[keep] * self.step + data[at[keep] + k - 1]
+            on = self._among(h, self.prefixes[k - 1])
+            at, h = at[on], h[on]
+            if not len(at):
+                break
+            found = at[self._among(h, self.whole[k - 1])]
+            np.add.at(crossed, found + 1, 1)
+            np.add.at(crossed, found + k, -1)
+        edge = [0, *(np.flatnonzero(np.cumsum(crossed)[1:n] == 0) + 1).tolist(), n]
+        return [piece[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+
 class Codec:
     """Encodes and decodes with one vocabulary; one DuckDB database in memory for each worker."""
 
@@ -97,7 +153,8 @@ class Codec:
         ranks = read_ranks(path)
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        # what doesn't fit goes to files in the task's own temporary folder, which the database removes again
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "256MB", "temp_directory": os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")})
         split = [(ranks[t[:k]], ranks[t[k:]], m) for t, m in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         merges = pa.table(dict(zip("lrm", (pa.array(np.array(x, np.int32)) for x in zip(*split, strict=True)), strict=True)))
         words = pa.table({"t": pa.array(list(ranks.values()), pa.int32()), "b": [t.decode("latin-1") for t in ranks]})  # a byte is one code point
@@ -105,7 +162,9 @@ class Codec:
             self.db.register("given", data)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        self.chunks: dict[str, bytes] = {}
+        self.db.execute("CREATE TABLE falls AS SELECT * FROM merges WHERE m < greatest(l, r)")  # a token's id is its rank
+        self.trie = Trie(ranks)
+        self.chunks = W.Chunks(CACHE)
 
     def _query(self, sql: str, **tables) -> pa.Table:
         for k, v in tables.items():
@@ -119,34 +178,30 @@ class Codec:
         n = np.array([len(x) for x in pieces])
         at = np.concatenate([[0], np.cumsum(n)])
         rows = pa.table({"w": pa.array(np.repeat(np.arange(len(n), dtype=np.int32), n)), "i": pa.array((np.arange(at[-1]) - np.repeat(at[:-1], n)).astype(np.int32)), "t": pa.array(self.byte[np.frombuffer(b"".join(pieces), np.uint8)])})
-        if sql is ONE:
-            flat = self._query(sql, pieces=rows)["t"].combine_chunks()
-            data, off = flat.values.to_numpy().astype(np.int32).tobytes(), (flat.offsets.to_numpy() * 4).tolist()
-            return [data[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
-        out = self._query(sql + _LAST, pieces=rows)
-        w, t = out["w"].to_numpy(), out["t"].to_numpy().astype(np.int32)
-        ids = [x.tobytes() for x in np.split(t, np.searchsorted(w, np.arange(1, len(n))))]
-        for x in self._query(sql + _FELL, pieces=rows)["w"].to_pylist():
-            ids[x] = self._contract(ONE, [pieces[x]])[0]
-        return ids
+        flat = self._query(sql, pieces=rows)["t"].combine_chunks()
+        data, off = flat.values.to_numpy().astype(np.int32).tobytes(), (flat.offsets.to_numpy() * 4).tolist()
+        return [data[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
 
     def pieces(self, found: list[bytes]) -> dict[bytes, bytes]:
         """The ids of distinct pieces, as little-endian 32-bit integers."""
+        parts = {x: self.trie.cuts(x) for x in found if len(x) > LONG}
+        todo = list({x for x in found if len(x) <= LONG} | {y for x in parts.values() for y in x})
         out: dict[bytes, bytes] = {}
-        for sql, some in ((ONE, [x for x in found if len(x) <= LONG]), (ALL, [x for x in found if len(x) > LONG])):
+        for sql, some in ((ONE, [x for x in todo if len(x) <= LONG]), (ALL, [x for x in todo if len(x) > LONG])):
             i = 0
             while i < len(some):
                 j, size = i, 0
-                while j < len(some) and (j == i or size < 8 * BATCH):
+                while j < len(some) and (j == i or size < BATCH):
                     size += len(some[j])
                     j += 1
                 out.update(zip(some[i:j], self._contract(sql, some[i:j]), strict=True))
                 i = j
+        out.update((x, b"".join([out[y] for y in cut])) for x, cut in parts.items())
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit integers."""
-        return W.looked_up([_CHUNK.findall(x) for x in texts], self.chunks, CACHE, self._new)
+        return self.chunks.encode([_CHUNK.findall(x) for x in texts], self._new)
 
     def _new(self, chunks: list[str]) -> dict[str, bytes]:
         parts = {c: [p.encode("utf-8", "surrogatepass") for p in self.pattern.findall(c)] for c in chunks}
@@ -167,9 +222,8 @@ class Codec:
         return out
 
 
-@lru_cache(maxsize=1)
 def codec(path: str) -> Codec:
-    return Codec(path)
+    return worker_state(("bpe", path), lambda: Codec(path))
 
 
 def default_path() -> str:
@@ -186,14 +240,13 @@ def _int_lists(ids: list[bytes]) -> pa.Array:
 def encode(docs: DataFrame, keep: list[str], path: str | None = None, decoded: bool = False) -> DataFrame:
     """``keep`` columns of ``docs`` with the ids of ``text``; with ``decoded``, also the bytes these ids decode to."""
     path = path or default_path()
-    kept = docs.select(*keep, F.col("text").cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]) + ", ids array<int>" + ", decoded binary" * decoded
+    kept, schema = kept_columns(docs, keep, "text", {"ids": "array<int>"} | ({"decoded": "binary"} if decoded else {}))
 
     def run(batches):
         own = codec(path)
         for batch in batches:
             text = batch.column(batch.num_columns - 1)
-            for i, j in W.slices(text, 2 << 20):
+            for i, j in W.slices(text):
                 ids = own.encode([x or "" for x in text.slice(i, j - i).to_pylist()])
                 out = [batch.column(c).slice(i, j - i) for c in range(batch.num_columns - 1)] + [_int_lists(ids)]
                 if decoded:
@@ -206,8 +259,7 @@ def encode(docs: DataFrame, keep: list[str], path: str | None = None, decoded: b
 def decode(rows: DataFrame, keep: list[str], path: str | None = None) -> DataFrame:
     """``keep`` columns of ``rows`` with the bytes that the column ``ids`` decodes to; null ids decode to nothing."""
     path = path or default_path()
-    kept = rows.select(*keep, F.col("ids").cast("array<int>").alias("__ids"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]) + ", decoded binary"
+    kept, schema = kept_columns(rows, keep, "ids", {"decoded": "binary"}, "array<int>")
 
     def run(batches):
         own = codec(path)
