@@ -11,9 +11,9 @@ one self-describing byte string, the file format:
     high     the boundaries' high parts in unary: bit (b_i >> l) + i is set
     samples  the place of every ``SAMPLE``-th set bit, as 32-bit integers
 
-``Segment.boundary(i)`` is a select on the high part: it starts at a sample and
-counts bits of a few bytes, so no table of 64-bit offsets is needed; the whole takes
-about 2 + log2(u / n) bits a document.
+``Segment.boundaries`` is a select on the high part, for any documents at once: it starts
+at a sample and counts bits of a few bytes, so no table of 64-bit offsets is needed; the
+whole takes about 2 + log2(u / n) bits a document.
 
 Segments are rows of a Parquet table (shard, base, doc_ids, payload) in a shared
 folder. Spark's commit protocol writes them, so a lost executor's task is simply
@@ -30,7 +30,6 @@ from __future__ import annotations
 import re
 import struct
 import uuid
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +38,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
-from ledgerlode.llm.common import shared_dir, table
+from ledgerlode.llm.common import bounded, shared_dir, table, worker_state
 
 SEGMENT_IDS = 1 << 20
 SAMPLE = 64
-CACHE = 700_000
+#: Documents read from a segment at once.
+READ = 1024
+CACHE = 96 << 20
 END_ID = 2
 _HEAD = struct.Struct("<4sBBBBqq")
-_COUNT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.int64)
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+#: Set bits of each byte, and the place of its n-th one.
+_COUNT = _BITS.sum(1).astype(np.int64)
+_NTH = np.array([[*np.flatnonzero(b), *[0] * (8 - b.sum())] for b in _BITS], np.int64)
 
 #: Cuts that the tokenizer's own pre-tokenizer also makes: at white space, and after letters before these marks.
 _MARK, _GAP = r".,!?;:%&*#$|()", r" \t\n\r\f\v"
@@ -83,37 +87,43 @@ class Segment:
         self._high = np.frombuffer(data, np.uint8, size, at)
         self._samples = np.frombuffer(data, "<u4", self.n // SAMPLE + 1, at + size)
 
-    def _select(self, i: int) -> int:
-        """Place of the i-th set bit of the high part."""
-        place, left = int(self._samples[i // SAMPLE]), i % SAMPLE
+    def _select(self, i: np.ndarray) -> np.ndarray:
+        """Places of the i-th set bits of the high part: from the sample before each, byte by byte."""
+        place, left = self._samples[i // SAMPLE].astype(np.int64), i % SAMPLE
         byte = place >> 3
-        left += int(_COUNT[int(self._high[byte]) & ((1 << (place & 7)) - 1)])
-        while (held := int(_COUNT[self._high[byte]])) <= left:
-            left -= held
-            byte += 1
-        return byte * 8 + int(np.flatnonzero(np.unpackbits(self._high[byte : byte + 1], bitorder="little"))[left])
-
-    def boundary(self, i: int) -> int:
-        """Where document i begins; boundary(n) is the end of the last."""
-        if not 0 <= i <= self.n:
-            raise IndexError(i)
-        bit, rest = i * self.low, 0
+        left = left + _COUNT[self._high[byte] & ((1 << (place & 7)) - 1)]
+        todo = np.arange(len(i))
+        while len(todo):
+            held = _COUNT[self._high[byte[todo]]]
+            todo, held = todo[held <= left[todo]], held[held <= left[todo]]
+            left[todo] -= held
+            byte[todo] += 1
+        return byte * 8 + _NTH[self._high[byte], left]
+
+    def boundaries(self, i) -> np.ndarray:
+        """Where the documents numbered ``i`` begin; n is the end of the last."""
+        i = np.asarray(i, np.int64)
+        if len(i) and not (0 <= i.min() and i.max() <= self.n):
+            raise IndexError(f"{i.min()} to {i.max()} of {self.n}")
+        bit, rest = i * self.low, np.zeros(len(i), np.int64)
         for j in range(self.low):
-            rest |= (int(self._low[(bit + j) >> 3]) >> ((bit + j) & 7) & 1) << j
+            rest |= (self._low[(bit + j) >> 3].astype(np.int64) >> ((bit + j) & 7) & 1) << j
         return ((self._select(i) - i) << self.low) | rest
 
-    def boundaries(self) -> np.ndarray:
-        """All n + 1 boundaries."""
-        place = np.flatnonzero(np.unpackbits(self._high, bitorder="little"))[: self.n + 1]
-        bits = np.unpackbits(self._low, bitorder="little")[: self.low * (self.n + 1)].reshape(self.n + 1, self.low)
-        return ((place - np.arange(self.n + 1)) << self.low) | (bits.astype(np.int64) << np.arange(self.low)).sum(1)
+    def boundary(self, i: int) -> int:
+        return int(self.boundaries([i])[0])
 
     def document(self, i: int) -> np.ndarray:
-        return self.ids[self.boundary(i) : self.boundary(i + 1)]
+        a, b = self.boundaries([i, i + 1])
+        return self.ids[a:b]
 
 
 class Encoder:
-    """The tokenizers library behind a dictionary of chunks, which is emptied at ``CACHE`` entries."""
+    """The tokenizers library behind a dictionary of chunks of at most ``CACHE`` bytes.
+
+    Texts that hold an added token's string are given to the library whole, as it finds these
+    strings before anything else.
+    """
 
     def __init__(self, path: str):
         import os
@@ -122,9 +132,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.chunks: dict[str, bytes] = {}
+        self.chunks = W.Chunks(CACHE)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.lower = "Lowercase" in str(self.tokenizer.normalizer)
@@ -154,12 +164,15 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return W.looked_up([_CHUNK.findall(self._case(x)) for x in texts], self.chunks, CACHE, self._new)
+        whole = {i for i, x in enumerate(texts) if any(t in x or t in x.lower() for t in self.added)} if self.added else set()
+        out = self.chunks.encode([[] if i in whole else _CHUNK.findall(self._case(x)) for i, x in enumerate(texts)], self._new)
+        for i in whole:
+            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, f"<u{self.width}").tobytes()
+        return out
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return worker_state(("token store", path), lambda: Encoder(path))
 
 
 def default_path() -> str:
@@ -183,7 +196,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([base]), pa.array([names], pa.list_(pa.int64())), pa.array([pack(np.array(lengths), b"".join(ids), own.width)], pa.binary())], names=["shard", "base", "doc_ids", "payload"])
 
         for batch in batches:
-            for i, j in W.slices(batch.column(1), 2 << 20):
+            for i, j in W.slices(batch.column(1)):
                 for doc_id, x in zip(batch.column(0).slice(i, j - i).to_pylist(), own.encode(batch.column(1).slice(i, j - i).to_pylist()), strict=True):
                     n = len(x) // own.width + 1
                     if lengths and size + n > segment_ids:
@@ -212,12 +225,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     starts = spark.createDataFrame(rows, "shard int, first bigint")
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             for base, names, data in zip(*(batch.column(k) for k in range(3)), strict=True):
                 s = Segment(data.as_py())
-                b = s.boundaries()
-                ids = s.ids.astype("<u4")
-                yield pa.RecordBatch.from_arrays([pa.array(names.as_py(), pa.int64()), pa.array(base.as_py() + b[:-1]), pa.array(np.diff(b)), pa.array([ids[x:y].tobytes() for x, y in zip(b[:-1], b[1:], strict=True)], pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+                names = pa.array(names.as_py(), pa.int64())
+                for i in range(0, s.n, READ):  # some documents at a time: a long one doesn't hold all others' ids in memory
+                    b = s.boundaries(np.arange(i, min(s.n, i + READ) + 1))
+                    ids = [s.ids[x:y].astype("<u4").tobytes() for x, y in zip(b[:-1], b[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays([names.slice(i, len(ids)), pa.array(base.as_py() + b[:-1]), pa.array(np.diff(b)), pa.array(ids, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
 
     placed = shards.join(F.broadcast(starts), "shard").select((F.col("base") + F.col("first")).alias("base"), "doc_ids", "payload")
     return placed.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
