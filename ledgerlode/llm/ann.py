@@ -9,7 +9,7 @@ precision.
 
 The window is measured, not guessed: for ``PROBES`` queries (a bounded sample) the true
 neighbours are found by scanning all vectors, and the window is made so wide that
-``TARGET`` of these neighbours come within it in some ordering. Centre and scale of the
+``TARGET`` of these neighbours come within it in some ordering, at every size of the table. Centre and scale of the
 projections come from ``SAMPLE`` vectors; every vector is indexed.
 
 Equal vectors are one node with its least ids, one more than the neighbours asked for,
@@ -20,7 +20,8 @@ the others; queries and candidates meet in them by an equi-join on the block.
 Vectors that are null, zero, of another length than most, or hold a null or non-finite
 component take no part. Rows that repeat vec_id and vector count once, and no row with
 the query's own vec_id is its candidate. Null ids take no part. Fewer candidates than
-asked for give fewer rows; an empty table gives none.
+asked for give fewer rows; an empty table gives none. Columns beside vec_id and embedding
+aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,12 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlode.llm.common import checkpoint, table
+from ledgerlode.llm.common import bounded, checkpoint, table
 
 NEIGHBOURS = 20
 CURVES, DIMS, DEPTH = 16, 8, 6
 BLOCK = 4096
-PROBES, TARGET = 64, 0.95
+PROBES, TARGET = 64, 0.97
 SAMPLE = 4096
 
 
@@ -107,7 +108,7 @@ def _ranks(nodes: DataFrame, curves: Curves) -> DataFrame:
     sent = nodes.sparkSession.sparkContext.broadcast(curves)
 
     def keys(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             if batch.num_rows:
                 all_keys = sent.value.keys(_matrix(batch.column(1)))
                 for c, k in enumerate(all_keys):
@@ -194,7 +195,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS) -> DataF
     n = nodes.count()
     sample = nodes.orderBy(F.xxhash64("vec"), "node").limit(SAMPLE).select("vec").collect()
     ranks = checkpoint(_ranks(nodes, Curves(np.array([r.vec for r in sample], np.float64))))
-    window = _window(nodes, probes, ranks, n, k) if n > BLOCK else n
+    window = _window(nodes, probes, ranks, n, k)
     block = min(BLOCK, max(64, window))
     reach = -(-window // block)
 
