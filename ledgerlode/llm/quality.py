@@ -13,7 +13,9 @@ one slice of them.
 
 Null and empty texts are scored as any other, from the terms for repetition alone.
 Ties between neighbours go to the earlier labelled vector. Without labels the score
-is 0.5. A doc_id with several labels counts with each; repeated rows count once.
+is 0.5. A doc_id with several labels counts with each; repeated rows count once in the
+sample and are scored each. An empty table gives no rows. A kept column named ``score`` or
+``predicted`` raises ``ValueError``.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
-from ledgerlode.llm.common import bounded, crc_mod, kept_columns, table
+from ledgerlode.llm.common import bounded, crc_mod, kept_columns, release, table
 
 SAMPLE, DIMS, NEIGHBOURS, POWER = 6000, 48, 15, 8
 CUT = 0.7
@@ -80,14 +82,14 @@ class Model:
 
     @classmethod
     def fit(cls, x: np.ndarray, labels: np.ndarray) -> Model:
+        """``x``, float32 term weights of the labelled texts, is changed in place."""
         weight = np.log((1 + len(x)) / (1 + (x > 0).sum(0))).astype(np.float32) + 1
-        x = x * weight
+        x *= weight
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
         _, vector = np.linalg.eigh((x.T @ x).astype(np.float64))
         axes = np.ascontiguousarray(vector[:, ::-1][:, 1 : DIMS + 1], np.float32)  # the first is what all texts share
-        model = cls(weight, axes, None, np.asarray(labels, np.float32))
-        model.vectors = model.project(x / weight)
-        return model
+        v = x @ axes
+        return cls(weight, axes, v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9), np.asarray(labels, np.float32))
 
     def project(self, x: np.ndarray) -> np.ndarray:
         x = x * self.weight
@@ -123,14 +125,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     # a doc_id's further texts come after the first of every other, so they can't crowd those out
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("x"))
     held = texts.mapInArrow(run, "doc_id bigint, x binary").distinct().withColumn("n", nth).orderBy("n", "doc_id", "x")
-    rows = held.select("doc_id", "x").limit(2 * sample).collect()
+    rows = held.select("doc_id", "x").limit(2 * sample).toArrow()
     by: dict[int, list[int]] = {}
     for r in some:
         by.setdefault(r.doc_id, []).append(r.quality)
-    pairs = [(r.x, q) for r in rows for q in by[r.doc_id]]
+    pairs = [(i, q) for i, k in enumerate(rows["doc_id"].to_pylist()) for q in by[k]]
     if not pairs:
         return None
-    return Model.fit(np.frombuffer(b"".join(bytes(x) for x, _ in pairs), "<f4").reshape(-1, TERMS), np.array([q for _, q in pairs]))
+    x = np.zeros((len(pairs), TERMS), np.float32)  # the only copy of the sample from here on
+    for r, (i, _) in enumerate(pairs):
+        x[r] = np.frombuffer(rows["x"][i].as_buffer(), "<f4")
+    del rows
+    model = Model.fit(x, np.array([q for _, q in pairs]))
+    del x
+    release()
+    return model
 
 
 def assess(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
