@@ -160,6 +160,12 @@ def test_quality_model():
     bad = ["SPAM!! " * rng.randint(10, 60) for _ in range(60)]
     model = quality.Model.fit(quality.terms(pa.array(good[:40] + bad[:40])), np.array([1] * 40 + [0] * 40))
     score = model.score(quality.terms(pa.array(good[40:] + bad[40:] + ["", None])))
+    x = model.project(quality.terms(pa.array(good[40:] + bad[40:] + ["", None])))
+    for own, got in zip(x, score, strict=True):  # exact cosine neighbours, one by one
+        near = [(-float(own.astype(np.float64) @ v), i) for i, v in enumerate(model.vectors.astype(np.float64))]
+        best = sorted(near)[: quality.NEIGHBOURS]
+        vote = [max(1e-3, -s) ** quality.POWER for s, _ in best]
+        assert abs(sum(v * model.labels[i] for v, (_, i) in zip(vote, best, strict=True)) / sum(vote) - got) < 1e-4
     assert (score[:20] >= 0.7).all() and (score[20:40] < 0.7).all() and ((score >= 0) & (score <= 1)).all()
 
 
