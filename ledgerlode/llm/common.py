@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import pickle
 import tempfile
 
 import pyarrow as pa
@@ -103,3 +104,19 @@ def kept_columns(df: DataFrame, keep: list[str], column: str, added: dict[str, s
     (last,) = fresh(df.select(*(f"`{c}`" for c in keep)), "text")
     kept = df.select(*(F.col(f"`{c}`") for c in keep), F.col(column).cast(kind).alias(last))
     return kept, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]] + [f"{k} {v}" for k, v in added.items()])
+
+
+def trained(rows: DataFrame, fit):
+    """``fit`` of all ``rows``, an Arrow table, in one task: for samples of a stated bound, so that the driver holds only the result.
+
+    ``fit`` isn't called without rows; the result is None then.
+    """
+    names = rows.columns
+
+    def run(batches):
+        held = [b for b in bounded(batches) if b.num_rows]
+        model = fit(pa.Table.from_batches(held).rename_columns(names)) if held else None
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    got = [pickle.loads(r.model) for r in rows.coalesce(1).mapInArrow(run, "model binary").collect()]
+    return got[0] if got else None

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
-from ledgerlode.llm.common import bounded, crc_mod, kept_columns, table
+from ledgerlode.llm.common import bounded, crc_mod, kept_columns, table, trained
 
 ORDERS = 4
 BITS = 20
@@ -124,9 +124,13 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, texts: int = TEXTS) -> Model
     some = named.select("lang", "doc_id", "t").distinct().withColumn("n", rank).where(F.col("n") <= min(per_lang, max(1, texts // len(names)))).drop("n").collect()
     ids = sorted({r.doc_id for r in some})
     wanted = docs.sparkSession.createDataFrame(some, named.select("lang", "doc_id", "t").schema)  # TEXTS rows at most
-    rows = named.where(F.col("doc_id").isin(ids)).join(F.broadcast(wanted), ["lang", "doc_id", "t"], "left_semi").dropDuplicates(["lang", "doc_id", "t"]).orderBy("doc_id", "lang", "text").select("lang", "text").toArrow()
-    rows = [(x, lang) for lang, x in zip(rows["lang"].to_pylist(), rows["text"].to_pylist(), strict=True) if _LETTER.search(x)]
-    return Model.fit(*map(list, zip(*rows, strict=True))) if rows else None
+    rows = named.where(F.col("doc_id").isin(ids)).join(F.broadcast(wanted), ["lang", "doc_id", "t"], "left_semi").dropDuplicates(["lang", "doc_id", "t"])
+
+    def learn(t: pa.Table) -> Model | None:
+        some = [(x, lang) for lang, x in zip(t["lang"].to_pylist(), t["text"].to_pylist(), strict=True) if _LETTER.search(x)]
+        return Model.fit(*map(list, zip(*some, strict=True))) if some else None
+
+    return trained(rows.orderBy("doc_id", "lang", "text").select("lang", "text").limit(min(per_lang * len(names), texts)), learn)
 
 
 def identify(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:

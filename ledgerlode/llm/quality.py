@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlode.llm import words as W
-from ledgerlode.llm.common import bounded, crc_mod, kept_columns, release, table
+from ledgerlode.llm.common import bounded, crc_mod, kept_columns, table, trained
 
 SAMPLE, DIMS, NEIGHBOURS, POWER = 6000, 48, 15, 8
 CUT = 0.7
@@ -125,21 +125,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     # a doc_id's further texts come after the first of every other, so they can't crowd those out
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("x"))
     held = texts.mapInArrow(run, "doc_id bigint, x binary").distinct().withColumn("n", nth).orderBy("n", "doc_id", "x")
-    rows = held.select("doc_id", "x").limit(2 * sample).toArrow()
     by: dict[int, list[int]] = {}
     for r in some:
         by.setdefault(r.doc_id, []).append(r.quality)
-    pairs = [(i, q) for i, k in enumerate(rows["doc_id"].to_pylist()) for q in by[k]]
-    if not pairs:
-        return None
-    x = np.zeros((len(pairs), TERMS), np.float32)  # the only copy of the sample from here on
-    for r, (i, _) in enumerate(pairs):
-        x[r] = np.frombuffer(rows["x"][i].as_buffer(), "<f4")
-    del rows
-    model = Model.fit(x, np.array([q for _, q in pairs]))
-    del x
-    release()
-    return model
+
+    def learn(rows: pa.Table) -> Model:
+        pairs = [(i, q) for i, k in enumerate(rows["doc_id"].to_pylist()) for q in by[k]]
+        x = np.zeros((len(pairs), TERMS), np.float32)
+        for r, (i, _) in enumerate(pairs):
+            x[r] = np.frombuffer(rows["x"][i].as_buffer(), "<f4")
+        return Model.fit(x, np.array([q for _, q in pairs]))
+
+    return trained(held.select("doc_id", "x").limit(2 * sample), learn)
 
 
 def assess(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
