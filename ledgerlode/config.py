@@ -26,7 +26,8 @@ class Source:
 @dataclass(frozen=True)
 class Settings:
     data_dir: Path
-    exchanges: tuple[str, ...] = ()
+    exchanges: tuple[str, ...] = ("Nasdaq", "NYSE")
+    universe_url: str = "https://www.sec.gov/files/company_tickers_exchange.json"
     forms: tuple[str, ...] = DEFAULT_FORMS
     market: Source = Source(0.5)
     financials: Source = Source(0.2)
@@ -60,7 +61,8 @@ def load_settings(path: Path, data_dir: Path | None = None) -> Settings:
     except ValueError as e:
         raise ConfigError(str(e)) from e
     own = {k: _source(raw.get(k, {}), getattr(Settings, k)) for k in ("market", "financials", "macros")}
-    return Settings(Path(place), tuple(raw.get("universe", {}).get("exchanges", ())), forms, **own)
+    listed = raw.get("universe", {})
+    return Settings(Path(place), tuple(listed.get("exchanges", Settings.exchanges)), str(listed.get("url", Settings.universe_url)), forms, **own)
 
 
 def load_secrets(path: Path, *names: str) -> dict[str, str]:

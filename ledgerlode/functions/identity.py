@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def cik10(value: Column) -> Column:
-    """Ten digits from 1 to 10 ASCII digits, with or without the prefix CIK; otherwise null."""
-    digits = F.regexp_extract(F.trim(value.cast("string")), r"^(?:CIK)?([0-9]{1,10})$", 1)
+    """Ten digits from 1 to 10 ASCII digits, with or without the prefix CIK in any case; otherwise null."""
+    digits = F.regexp_extract(F.trim(value.cast("string")), r"^(?:(?i:CIK))?([0-9]{1,10})$", 1)
     return F.when(digits != "", F.lpad(digits, 10, "0"))
 
 
@@ -42,4 +42,5 @@ def missing(value: Column) -> Column:
 
 
 def optional_text(value: Column) -> Column:
-    return F.nullif(F.trim(value), F.lit(""))
+    """The text as it is, null where it is empty."""
+    return missing(value)

@@ -11,24 +11,29 @@ ZERO_WIDTH = "\u200b\u200c\u200d\ufeff"
 LINE_END = r"\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 #: White space inside a line.
 BLANK = r"[ \t\x1f\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
-#: A number: sign or bracket, digits in groups, fraction, per cent; not inside a word.
-NUMBER = r"(?<![A-Za-z0-9])[-+]?\(?[$]? ?[0-9][0-9,]*(?:\.[0-9]+)?\)?%?(?![A-Za-z0-9])"
+#: A number with its brackets and signs, not inside a word.
+NUMBER = r"(?U)(?<![A-Za-z0-9])(?:\(?\$?\s*[+-]?\s*\d[\d,]*(?:\.\d+)?%?\)?)(?![A-Za-z0-9])"
 
-#: Terms that mark a financial statement.
-STATEMENT_TERMS = ("balance sheet", "statement of operations", "statements of operations", "statement of income", "statements of income", "cash flows", "comprehensive income", "stockholders' equity", "shareholders' equity")
+#: Terms that mark a financial statement, and how notes and other parts are named.
+STATEMENT_TERMS = ("balance sheet", "income statement", "cash flow", "statement of operations", "statement of comprehensive")
+NOTE, NOTES, PART = r"\bnote\s+\d+\b", "notes to", r"\b(?:item|part)\s+[0-9ivx]+\b"
 BLOCK_TYPES = ("financial_statement", "note", "other_context", "unknown")
 
 
+def clean_line(line: Column) -> Column:
+    """One line without zero-width marks, its white space single, its ends stripped."""
+    return F.trim(F.regexp_replace(F.translate(line, ZERO_WIDTH, ""), f"{BLANK}+", " "))
+
+
 def clean(text: Column) -> Column:
     """Without zero-width marks; each line's white space made single, lines and their order kept, ends stripped."""
-    lines = F.split(F.translate(text, ZERO_WIDTH, ""), LINE_END)
-    lines = F.transform(lines, lambda x: F.trim(F.regexp_replace(x, f"{BLANK}+", " ")))
-    return F.regexp_replace(F.array_join(lines, "\n"), r"^[\n ]+|[\n ]+$", "")
+    one = F.regexp_replace(F.translate(text, ZERO_WIDTH, ""), LINE_END, "\n")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(one, f"{BLANK}+", " "), "(?d) *\n *", "\n"), r"^[\n ]+|[\n ]+\z", "")
 
 
 def numbers(text: Column) -> Column:
-    """The number tokens in order, inner spaces removed."""
-    return F.transform(F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0)), lambda x: F.replace(x, F.lit(" ")))
+    """The number tokens in order, white space removed."""
+    return F.transform(F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0)), lambda x: F.regexp_replace(x, r"(?U)\s+", ""))
 
 
 def keeps_numbers(before: Column, after: Column) -> Column:
@@ -39,24 +44,17 @@ def keeps_numbers(before: Column, after: Column) -> Column:
 def block_type(text: Column, kind: Column) -> Column:
     """financial_statement, note, other_context or unknown; the first rule that holds."""
     low = F.lower(text)
-    term = F.lit(False)
-    for t in STATEMENT_TERMS:
-        term = term | low.contains(t)
-    note = low.rlike(r"^notes? +(?:to |[0-9]+)")
-    other = low.rlike(r"^(?:item|part) +[0-9ivx]+")
-    return F.when((kind == "table") | term, "financial_statement").when(note, "note").when(other, "other_context").otherwise("unknown")
+    statement = (kind == "table") | low.rlike("|".join(STATEMENT_TERMS))
+    return F.when(statement, "financial_statement").when(low.rlike(NOTE) | low.startswith(NOTES), "note").when(low.rlike(PART), "other_context").otherwise("unknown")
 
 
 def paragraphs(text: Column) -> Column:
     """array<struct<first, text>>: runs of nonblank lines with the number of their first line, from 1.
 
-    Lines carry their numbers; a run begins at a nonblank line after a blank one or at the
-    start, and ends before the next blank line, found among the sorted places of blank lines.
+    Lines get their numbers in front and are joined again; the numbered blank lines are where
+    this text is split, so the work grows with its length only.
     """
-    lines = F.split(text, LINE_END)
-    blank = F.transform(lines, lambda x: F.trim(F.regexp_replace(x, f"{BLANK}+", " ")) == "")
-    n = F.size(lines)
-    breaks = F.concat(F.array(F.lit(0)), F.filter(F.transform(blank, lambda b, i: F.when(b, i + 1)), lambda x: x.isNotNull()), F.array(n + 1))
-    gaps = F.zip_with(F.slice(breaks, F.lit(1), F.size(breaks) - 1), F.slice(breaks, F.lit(2), F.size(breaks) - 1), lambda a, b: F.struct((a + 1).alias("first"), b.alias("stop")))
-    runs = F.filter(gaps, lambda g: g.stop > g.first)
-    return F.transform(runs, lambda g: F.struct(g.first.alias("first"), F.array_join(F.slice(lines, g.first, g.stop - g.first), "\n").alias("text")))
+    numbered = F.array_join(F.transform(F.split(text, LINE_END), lambda x, i: F.concat((i + 1).cast("string"), F.lit(":"), x)), "\n")
+    runs = F.filter(F.split(numbered, rf"(?dm)^[0-9]+:{BLANK}*(?:\n|\z)"), lambda x: x != "")
+    bare = lambda x: F.regexp_replace(F.regexp_replace(x, r"\n\z", ""), "(?dm)^[0-9]+:", "")
+    return F.transform(runs, lambda x: F.struct(F.regexp_extract(x, "^([0-9]+):", 1).cast("int").alias("first"), bare(x).alias("text")))

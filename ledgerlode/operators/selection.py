@@ -1,132 +1,582 @@
-"""Document selection: phrase rules and decision tables as column expressions and aggregations."""
+"""Document selection: accession inventories, phrase rules, plans, and their refinement by the cover's exhibit table.
+
+Inventories and detail pages are landed bytes. JSON is read by a declared schema; the two
+kinds of HTML tables go through one Arrow function; all the rest is joins, expressions and
+one aggregation a filing, whose size is that of its list of files.
+"""
 
 from __future__ import annotations
 
+import re
+from html.parser import HTMLParser
+from urllib.parse import parse_qsl, unquote, urlsplit
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: What a description says of an exhibit.
-STRONG_PHRASES = ("annual report", "audited consolidated", "condensed consolidated", "consolidated financial statements", "financial statements", "half-year report", "interim financial", "quarterly report", "semi-annual report", "unaudited interim")
-NONFINANCIAL_PHRASES = ("agreement", "bylaws", "certificate of", "code of ethics", "consent of", "credit facility", "indenture", "legal opinion", "notice of meeting", "power of attorney", "press release", "proxy", "subsidiaries of")
-DISCUSSION_PHRASES = ("management's discussion", "operating and financial review")
-PERIOD_WORDS = r"\b(?:annual|quarter(?:ly)?|interim|half[- ]year|three months|six months|nine months|twelve months|year ended)\b"
-#: XBRL exhibit types and file endings.
-XBRL_TYPES = {"EX-101.INS": "xbrl_instance", "EX-101.SCH": "schema", "EX-101.CAL": "linkbase", "EX-101.DEF": "linkbase", "EX-101.LAB": "linkbase", "EX-101.PRE": "linkbase"}
-XBRL_ENDINGS = {".xsd": "schema", "_cal.xml": "linkbase", "_def.xml": "linkbase", "_lab.xml": "linkbase", "_pre.xml": "linkbase", "_ref.xml": "linkbase", "_htm.xml": "xbrl_instance"}
-#: Fixed value: a whole cell that is a number; years and note marks aren't.
-NUMBER_CELL = r"^[-+]?\(?[$]? ?(?:[0-9][0-9,]*(?:\.[0-9]+)?|\.[0-9]+)\)?%?$"
-NOT_A_NUMBER = r"^(?:(?:19|20)[0-9][0-9]|\([0-9]{1,2}\)|[0-9]{1,2}\.)$"
+from ledgerlode.functions import identity, urls
+
+#: What a description of a financial exhibit says, in order of precedence.
+STRONG_PHRASES = (
+    "financial statements",
+    "consolidated financial statements",
+    "consolidated statements",
+    "interim financial statements",
+    "interim condensed financial statements",
+    "annual report",
+    "quarterly report",
+    "interim report",
+    "financial results",
+    "results of operations",
+    "financial review",
+    "earnings release",
+    "earnings news release",
+    "quarterly earnings",
+    "return on equity and assets ratios",
+    "annual financial report",
+    "financial information",
+)
+#: Names of management's discussion, and words of the period that it is of.
+DISCUSSION_PHRASES = ("management's discussion and analysis", "management’s discussion and analysis", "management discussion and analysis", "md&a")
+PERIOD_WORDS = r"\b(?:q[1-4]|quarter(?:ly)?|annual|interim|fiscal(?:\s+year)?|year\s+ended|20[0-9]{2})\b"
+#: What a description of other papers says.
+NONFINANCIAL_PHRASES = (
+    "material agreement",
+    "credit agreement",
+    "purchase agreement",
+    "merger agreement",
+    "employment agreement",
+    "consulting agreement",
+    "license agreement",
+    "underwriting agreement",
+    "debt agreement",
+    "change in directors",
+    "change in control",
+    "change in auditors",
+    "dividend declaration",
+    "notice of meeting",
+    "shareholder meeting",
+    "amendment to agreement",
+    "ceo and cfo certificates",
+    "cfo certification",
+    "ceo certification",
+    "consent of independent registered public accounting firm",
+    "code of conduct",
+    "clawback policy",
+    "compensation recovery policy",
+)
+#: XBRL roles by exhibit type and by the end of a file's name.
+XBRL_TYPES = {"INS": "xbrl_instance", "SCH": "schema", "PRE": "linkbase", "CAL": "linkbase", "DEF": "linkbase", "LAB": "linkbase"}
+XBRL_ENDINGS = {".xsd": "schema", "_ins.xml": "xbrl_instance", "_cal.xml": "linkbase", "_def.xml": "linkbase", "_lab.xml": "linkbase", "_pre.xml": "linkbase", "_tag.xml": "linkbase"}
+XBRL_INSTANCE = "extracted xbrl instance document"
+#: Exhibit types and names, weak words of file names, and endings of files that may be documents.
+EXHIBIT_TYPE, EXHIBIT_NAME = r"(?i)^EX(?:HIBIT)?[- ]?\d", r"^(?:ex|exhibit)[-_. ]?99(?:[._-]|$)"
+WEAK_NAMES = ("financial", "annual-report", "quarterly-report", "earnings")
+UNCERTAIN_ENDINGS = (".htm", ".html", ".pdf", ".doc", ".docx", ".rtf", ".xml")
+#: Forms whose primary document is the financial body, and those that need evidence.
+BODY_FORMS = ("10-K", "10-K/A", "10-Q", "10-Q/A", "20-F", "20-F/A")
+COVER_FORMS = ("6-K", "40-F", "40-F/A")
+PERIODIC_FORMS = (*BODY_FORMS, "40-F", "40-F/A")
+#: Index files that aren't documents.
+INDEX_NAMES = ("index.json", "index.htm", "index.html")
+#: Titles in a cover's exhibit table, the numbers of its rows, and how much of a cover is read.
+COVER_NUMBER = r"(?i)^\s*(?:EX(?:HIBIT)?[\s-]*)?(99\.\d+)(?:\s+.*)?$"
+COVER_PHRASES = ("financial statements", "annual financial report", "interim financial report", "quarterly financial report", "financial review", "earnings release", "earnings news release", "financial results")
+COVER_REPORTS, COVER_AUDITS = ("annual report", "interim report", "quarterly report"), ("audit", "auditor", "review")
+COVER_ENDINGS = (".htm", ".html", ".pdf", ".doc", ".docx", ".rtf")
+COVER_LIMIT = 8 << 20
+COVER_HTML = re.compile(rb"(?i)<\s*(?:!doctype\s+html|html|body|table|tr)\b")
+#: Viewers whose only parameter is a document's path.
+VIEWERS = ("/ix", "/ixviewer/doc/action")
+FETCHED_ROLES = ("exhibit", "xbrl_instance", "schema", "linkbase")
+
+
+class InventoryError(ValueError):
+    """An inventory that doesn't safely describe its filing."""
+
+
+def folded(value: Column) -> Column:
+    """In lower case, white space single, ends stripped; null is empty."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(value, F.lit(""))), r"(?U)\s+", " "))
+
+
+def first_phrase(value: Column, rules: list[tuple[str, str]]) -> Column:
+    """The result of the first rule (phrase, result) whose phrase the value contains; else null."""
+    held = F.array(*(F.struct(F.lit(p).alias("phrase"), F.lit(r).alias("result")) for p, r in rules))
+    return urls.let(value, lambda v: F.get(F.filter(held, lambda r: v.contains(r["phrase"])), F.lit(0))["result"])
 
 
 def any_phrase(value: Column, phrases: tuple[str, ...]) -> Column:
-    out = F.lit(False)
-    for p in phrases:
-        out = out | value.contains(p)
-    return out
+    return value.rlike("|".join(map(re.escape, phrases)))
 
 
-def first_phrase(value: Column, rules: list[tuple[str, str]]) -> Column:
-    """The result of the first rule (phrase, result) whose phrase the value contains; else null."""
-    out = None
-    for phrase, result in rules:
-        out = F.when(value.contains(phrase), result) if out is None else out.when(value.contains(phrase), result)
-    return out if out is not None else F.lit(None).cast("string")
+def ending(name: Column) -> Column:
+    """The end of a file's name from its last dot, in lower case."""
+    return F.lower(F.regexp_extract(name, r"[^.](\.[^.]*)$", 1))
 
 
-def xbrl_role(kind: Column, name: Column, description: Column) -> Column:
-    """schema, linkbase or xbrl_instance; null for others. A type EX-101 decides alone, even where unknown."""
-    by_type, low = F.lit(None).cast("string"), F.lower(name)
-    for k, role in XBRL_TYPES.items():
-        by_type = F.when(F.upper(kind) == k, role).otherwise(by_type)
-    by_name = F.lit(None).cast("string")
-    for ending, role in XBRL_ENDINGS.items():
-        by_name = F.when(low.endswith(ending), role).otherwise(by_name)
-    return F.when(F.upper(kind).startswith("EX-101"), by_type).when(F.lower(description).contains("extracted xbrl instance"), "xbrl_instance").otherwise(by_name)
+def clearly_nonfinancial(description: Column) -> Column:
+    return any_phrase(F.trim(F.lower(F.coalesce(description, F.lit("")))), NONFINANCIAL_PHRASES)
 
 
 def strong_evidence(description: Column, form: Column) -> Column:
-    """Whether a description names financial statements; a phrase for other papers vetoes."""
-    low = F.lower(F.coalesce(description, F.lit("")))
-    periodic = form.rlike("^(?:10-K|10-Q|20-F|40-F)") | low.rlike(PERIOD_WORDS)
-    return ~any_phrase(low, NONFINANCIAL_PHRASES) & (any_phrase(low, STRONG_PHRASES) | any_phrase(low, DISCUSSION_PHRASES) & periodic)
+    """What a description says that makes its document financial, or null; a phrase for other papers vetoes."""
+    return urls.let(folded(description), lambda said: _evidence(said, form))
 
 
-def clearly_nonfinancial(description: Column) -> Column:
-    return any_phrase(F.lower(F.coalesce(description, F.lit(""))), NONFINANCIAL_PHRASES)
+def _evidence(said: Column, form: Column) -> Column:
+    phrase = first_phrase(said, [(p, p) for p in STRONG_PHRASES])
+    periodic = F.upper(F.coalesce(form, F.lit(""))).isin(*PERIODIC_FORMS) | said.rlike(PERIOD_WORDS)
+    discussion = F.when(any_phrase(said, DISCUSSION_PHRASES) & periodic, "management's discussion and analysis in annual/quarterly context")
+    return F.when((said != "") & ~any_phrase(said, NONFINANCIAL_PHRASES), F.coalesce(phrase, discussion))
+
+
+def xbrl_role(kind: Column, name: Column, description: Column) -> Column:
+    """schema, linkbase or xbrl_instance; null for others. A type EX-101 decides alone, even where unknown."""
+    bare = F.replace(F.upper(F.trim(F.coalesce(kind, F.lit("")))), F.lit(" "))
+    typed = F.regexp_extract(bare, r"^EX-?101[.]([A-Z]+)(?:\b|$)", 1)
+    by_type = F.coalesce(*(F.when(typed == k, r) for k, r in XBRL_TYPES.items()))
+    by_name = F.coalesce(*(F.when(F.lower(name).endswith(e), r) for e, r in XBRL_ENDINGS.items()))
+    return F.when(typed != "", by_type).when((bare == "XML") & (folded(description) == XBRL_INSTANCE), "xbrl_instance").otherwise(by_name)
 
 
 def generic_exhibit(kind: Column, name: Column) -> Column:
-    return F.coalesce(F.upper(kind).rlike(r"^EX-[0-9]+"), F.lit(False)) | F.lower(name).rlike(r"ex-?99")
+    return F.trim(F.coalesce(kind, F.lit(""))).rlike(EXHIBIT_TYPE) | F.lower(F.coalesce(name, F.lit(""))).rlike(EXHIBIT_NAME)
+
+
+def document_class(name: Column, kind: Column, description: Column, form: Column, primary: Column) -> Column:
+    """primary, exhibit (by evidence), an XBRL role, non_financial, unknown_exhibit, weak_name, uncertain or other; the first that holds."""
+    role = xbrl_role(kind, name, description)
+    return (
+        F.when(primary, "primary")
+        .when(strong_evidence(description, form).isNotNull(), "exhibit")
+        .when(role.isNotNull(), role)
+        .when(clearly_nonfinancial(description), "non_financial")
+        .when(generic_exhibit(kind, name), "unknown_exhibit")
+        .when(any_phrase(F.lower(name), WEAK_NAMES), "weak_name")
+        .when(ending(name).isin(*UNCERTAIN_ENDINGS), "uncertain")
+        .otherwise("other")
+    )
 
 
-def candidate_status(required: Column, role: Column) -> Column:
-    return F.when(required, "required").when(role.isNull(), "candidate").otherwise("out_of_scope")
+def is_selected(kind: Column) -> Column:
+    """Whether documents of this class are fetched."""
+    return kind.isin("primary", *FETCHED_ROLES)
 
 
-def plan_status(form: Column, review: Column, strong: Column) -> Column:
-    """The decision table of a plan: periodic forms are always taken, 6-K and 40-F need evidence and nothing to review."""
-    base = F.regexp_replace(form, "/A$", "")
-    return F.when(base.isin("10-K", "10-Q", "20-F"), "selected_financial").when(review, "needs_review").when(strong, "selected_financial").when(base == "6-K", "non_financial").otherwise("needs_review")
-
-
-def plans(candidates: DataFrame) -> DataFrame:
-    """One plan for each filing from candidates (filing_id, form, name, type, description, is_primary, in_detail)."""
-    role = xbrl_role(F.col("type"), F.col("name"), F.col("description"))
-    marked = candidates.withColumn("role", role).withColumn("strong", strong_evidence(F.col("description"), F.col("form")) & ~F.col("is_primary")).withColumn("non_financial", clearly_nonfinancial(F.col("description")))
-    unsure = ~F.col("is_primary") & F.col("role").isNull() & ~F.col("strong") & ~F.col("non_financial") & generic_exhibit(F.col("type"), F.col("name"))
-    lost = F.col("is_primary") & ~F.col("in_detail")
-    selected = F.col("is_primary") | F.col("strong")
-    grouped = marked.groupBy("filing_id", "form").agg(F.bool_or(unsure | lost).alias("review"), F.bool_or("strong").alias("strong"), F.sort_array(F.collect_set(F.when(selected, F.col("name")))).alias("selected"), F.sort_array(F.collect_set(F.when(unsure, F.col("name")))).alias("unsure"))
-    return grouped.withColumn("status", plan_status(F.col("form"), F.col("review"), F.col("strong")))
-
-
-def refine(plan: DataFrame, cover_rows: DataFrame) -> DataFrame:
-    """Plans of 6-K and 40-F after their cover table: a row (filing_id, exhibit, title, name) with a financial title and one file promotes it."""
-    titled = cover_rows.where(F.col("exhibit").rlike(r"^99(?:\.[0-9]+)?$") & strong_evidence(F.col("title"), F.lit("40-F")))
-    proof = titled.groupBy("filing_id", "exhibit").agg(F.collect_set("name").alias("names")).groupBy("filing_id").agg(
-        F.flatten(F.collect_list(F.when(F.size("names") == 1, F.col("names")))).alias("promoted"), F.bool_or(F.size("names") != 1).alias("unresolved")
+def candidate_status(kind: Column, generic: Column) -> Column:
+    """required, out_of_scope or candidate by class; a generic exhibit that isn't unknown is non-financial."""
+    outside = (kind == "non_financial") & generic | kind.isin("other", "non_financial") & ~generic
+    return F.when(is_selected(kind), "required").when(outside, "out_of_scope").otherwise("candidate")
+
+
+def review_reasons(form: Column, classes: Column, evidence: Column, detail: Column, primary_detail: Column) -> Column:
+    """Why a plan needs review, in order: array<string>.
+
+    classes: array<struct<name, kind>> in the index's order; evidence: whether any document
+    is financial by its description; detail: whether there is a detail page;
+    primary_detail: whether the primary has a row in it.
+    """
+    named = lambda kind, why: F.transform(F.filter(classes, lambda c: c["kind"] == kind), lambda c: F.concat(c["name"], F.lit(why)))
+    has = lambda kind: F.exists(classes, lambda c: c["kind"] == kind)
+    open_one = has("unknown_exhibit") | has("weak_name") | has("uncertain")
+    only = lambda when, why: F.when(when, F.array(F.lit(why))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(
+        F.concat(
+            named("unknown_exhibit", " has an exhibit type but no explicit financial or non-financial description"),
+            named("weak_name", " filename suggests financial content but SEC description/type is not conclusive"),
+            named("uncertain", " lacks a conclusive SEC description/type and remains an unselected attachment candidate"),
+            only(form.isin("40-F", "40-F/A") & ~evidence, "40-F primary document may be a cover; no explicitly described financial exhibit was identified"),
+            only((form == "6-K") & ~evidence & ~open_one & ~has("non_financial"), "6-K financial content is not established by the primary document or exhibit metadata"),
+            only((form == "6-K") & ~evidence & open_one, "6-K has no explicitly described financial exhibit; primary document alone is not treated as complete"),
+            only(~detail, "SEC filing detail page returned 404; exhibit descriptions are unavailable"),
+            only(detail & ~primary_detail, "primary document has no matching row in the SEC filing detail table"),
+        )
     )
-    out = plan.join(proof, "filing_id", "left")
-    open_form = F.regexp_replace("form", "/A$", "").isin("6-K", "40-F")
-    evidence = F.coalesce(F.size("promoted") > 0, F.lit(False)) & open_form
-    left = F.size(F.array_except("unsure", F.coalesce("promoted", F.array().cast("array<string>")))) > 0
-    unresolved = F.coalesce("unresolved", F.lit(False)) & open_form
-    status = F.when(evidence & ~left & ~unresolved, "selected_financial").when(evidence | unresolved, "needs_review").otherwise(F.col("status"))
-    return out.withColumn("status", status).withColumn("selected", F.when(evidence, F.array_sort(F.array_union("selected", "promoted"))).otherwise(F.col("selected"))).drop("promoted", "unresolved")
 
 
-def coverage(content: Column, plan: Column, degraded: Column) -> Column:
-    return F.when((plan == "selected_financial") & (content == "full") & ~degraded, "complete").otherwise("partial")
+def informational_reasons(form: Column, classes: Column, evidence: Column) -> Column:
+    """What is said of papers that aren't financial, which doesn't ask for review."""
+    other = F.filter(classes, lambda c: c["kind"] == "non_financial")
+    open_one = F.exists(classes, lambda c: c["kind"].isin("unknown_exhibit", "weak_name", "uncertain"))
+    none = (form == "6-K") & ~evidence & ~open_one & (F.size(other) > 0)
+    said = F.transform(other, lambda c: F.concat(c["name"], F.lit(" is described as non-financial material")))
+    return F.concat(said, F.when(none, F.array(F.lit("6-K exhibits are described as non-financial; no financial report was selected"))).otherwise(F.array().cast("array<string>")))
 
 
-def content_status(documents: DataFrame, keys: list[str]) -> DataFrame:
-    """partial if any document is partial, failed or unsupported; otherwise full."""
-    flawed = F.bool_or(F.col("status").isin("partial", "failed", "unsupported"))
-    return documents.groupBy(*keys).agg(F.when(flawed, "partial").otherwise("full").alias("content_status"))
+def plan_status(form: Column, review: Column, strong: Column) -> Column:
+    """The decision table of a plan: periodic forms are always taken, 6-K and 40-F need evidence and nothing to review."""
+    return F.when(form.isin(*BODY_FORMS), "selected_financial").when(review, "needs_review").when(strong, "selected_financial").when(form == "6-K", "non_financial").otherwise("needs_review")
 
 
-def is_number(cell: Column) -> Column:
-    return cell.rlike(NUMBER_CELL) & ~cell.rlike(NOT_A_NUMBER)
+def directory_url(cik: Column, accession: Column) -> Column:
+    return F.concat(F.lit("https://www.sec.gov/Archives/edgar/data/"), F.regexp_replace(cik, "^0+(?=.)", ""), F.lit("/"), F.replace(accession, F.lit("-")), F.lit("/"))
 
 
-def data_tables(rows: DataFrame, keys: list[str], cells: str) -> DataFrame:
-    """(keys, data_table, n_rows): whether the rows of cells under each key are a table of data.
+def index_items(payloads: DataFrame, keys: list[str], content: str, directory: Column | None = None) -> DataFrame:
+    """(keys, place, name, type, size, metadata, problem) of accession inventories; index files left out.
 
-    The first cell is the label. A row with two numbers, two rows with one, or a single
-    row with one and a mark of money, sign or share make it one.
+    A payload that isn't an index, is of another ``directory`` than the path given, or has an
+    unsafe name gives one row with the problem; a name that comes again with other metadata
+    has the problem conflict.
     """
-    numbers = F.size(F.filter(F.slice(cells, F.lit(2), F.size(cells)), is_number))
-    mark = F.exists(cells, lambda x: x.rlike("[$(%]"))
-    each = rows.select(*keys, numbers.alias("n"), mark.alias("mark"))
-    single = F.count_if(F.col("n") == 1)
-    accept = (F.count_if(F.col("n") >= 2) > 0) | (single >= 2) | ((single == 1) & F.bool_or((F.col("n") >= 1) & F.col("mark")))
-    return each.groupBy(*keys).agg(accept.alias("data_table"), F.count("*").alias("n_rows"))
-
-
-def index_items(payloads: DataFrame, keys: list[str], content: str) -> DataFrame:
-    """(keys, place, name, type, size, conflict) of accession inventories; index files left out."""
-    schema = "directory struct<name:string,item:array<struct<name:string,type:string,size:string,`last-modified`:string>>>"
-    items = payloads.select(*keys, F.posexplode(F.from_json(content, schema).getField("directory").getField("item")).alias("place", "i"))
-    items = items.where(~F.lower("i.name").rlike("^index[.]|-index[.]")).select(*keys, "place", "i.name", F.struct("i.type", "i.size", "i.last-modified").alias("info"))
-    grouped = items.groupBy(*keys, "name").agg(F.min("place").alias("place"), F.min("info").alias("info"), (F.min("info") != F.max("info")).alias("conflict"))
-    return grouped.select(*keys, "place", "name", "info.type", "info.size", "conflict")
+    schema = "directory struct<name:string,item:array<map<string,string>>>"
+    text = F.regexp_replace(F.col(content).cast("string"), "^﻿", "")
+    p = payloads.withColumn("_p", F.from_json(text, schema)["directory"])
+    name = F.col("_p.name")
+    seen = urls.unquoted(name)
+    unsafe = name.rlike(r"[?#\\]") | (seen != name) & seen.rlike(r"\.\.|[\\\x00]")
+    parts = lambda x: F.array_join(F.filter(F.split(x, "/"), lambda s: s != ""), "/")
+    other = F.lit(False) if directory is None else parts(seen) != parts(directory)
+    names = F.transform("_p.item", lambda i: i["name"])
+    bad = F.exists(names, lambda n: urls.safe_filename(n).isNull())
+    problem = F.when(F.col("_p").isNull() | F.col("_p.item").isNull() | F.exists("_p.item", lambda i: i.isNull()), "not_an_index").when(F.coalesce((name == "") | unsafe | other, F.lit(True) if directory is not None else F.lit(False)), "directory").when(F.coalesce(bad, F.lit(True)), "filename")
+    p = p.select(*keys, problem.alias("problem"), F.when(problem.isNull(), F.col("_p.item")).alias("_items"))
+    items = p.select(*keys, "problem", F.posexplode_outer("_items").alias("place", "i")).where(F.col("problem").isNotNull() | ~F.coalesce(F.lower(F.col("i")["name"]).isin(*INDEX_NAMES), F.lit(True)))
+    info = F.to_json(F.transform(F.array_sort(F.map_entries("i")), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))))
+    grouped = items.withColumn("name", F.col("i")["name"]).withColumn("info", info).groupBy(*keys, "name", "problem").agg(F.min("place").alias("place"), F.min_by("i", "place").alias("i"), (F.min("info") != F.max("info")).alias("two"))
+    return grouped.select(*keys, "place", "name", F.col("i")["type"].alias("type"), F.col("i")["size"].alias("size"), F.to_json("i").alias("metadata"), F.coalesce("problem", F.when(F.col("two"), "conflict")).alias("problem"))
+
+
+class _Rows(HTMLParser):
+    """The rows of tables: cells, links as (href, cell, text), and where a row begins.
+
+    With ``within``, only outermost tables of that class are read and what is nested counts as
+    part of them; without it, all rows but those inside unseen elements.
+    """
+
+    UNSEEN = frozenset(("script", "style", "noscript", "template"))
+
+    def __init__(self, within: str | None = None):
+        super().__init__(convert_charrefs=True)
+        self.within, self.depth, self.seen = within, 0, False
+        self.rows: list[dict] = []
+        self.n, self.unseen = 0, 0
+        self.row = self.cell = self.link = None
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if self.within is None:
+            if tag in self.UNSEEN:
+                self.unseen += 1
+            if self.unseen:
+                return
+        elif tag == "table":
+            if self.depth or self.within in (a.get("class") or "").casefold().split():
+                self.depth += 1
+                self.seen = True
+            return
+        elif not self.depth:
+            return
+        if tag == "tr":
+            self._end_row()
+            self.n += 1
+            line, column = self.getpos()
+            self.row = {"ordinal": self.n, "line": line, "column": column, "cells": [], "links": []}
+        elif tag in ("td", "th") and self.row is not None:
+            self._end_cell()
+            self.cell = []
+        elif tag == "a" and self.row is not None and a.get("href") is not None and (self.cell is not None or self.within):
+            self.link = (a["href"], len(self.row["cells"]), [])
+
+    def handle_endtag(self, tag):
+        if self.within is None and tag in self.UNSEEN:
+            self.unseen = max(0, self.unseen - 1)
+        elif self.unseen or self.within and not self.depth:
+            return
+        elif tag in ("td", "th"):
+            self._end_cell()
+        elif tag == "tr":
+            self._end_row()
+        elif tag == "a":
+            self._end_link()
+        elif tag == "table" and self.within:
+            self.depth -= 1
+            if not self.depth:
+                self._end_row()
+
+    def handle_data(self, data):
+        if self.unseen or self.within and not self.depth:
+            return
+        if self.cell is not None:
+            self.cell.append(data)
+            if self.link:
+                self.link[2].append(data)
+
+    def _end_link(self):
+        if self.link and self.row is not None and (self.cell is not None or not self.within):
+            self.row["links"].append((self.link[0], self.link[1], " ".join(" ".join(self.link[2]).split())))
+        self.link = None
+
+    def _end_cell(self):
+        if self.cell is not None:
+            self.row["cells"].append(" ".join(" ".join(self.cell).split()))
+        self.cell = None
+
+    def _end_row(self):
+        if self.row is not None:
+            self._end_cell()
+            if self.row["cells"] or self.row["links"]:
+                self.rows.append(self.row)
+        self.row = self.link = None
+
+
+def table_rows(source: str, within: str | None = None) -> list[dict] | None:
+    """The rows of a page's tables; None where no table of the class is there."""
+    parser = _Rows(within)
+    parser.feed(source)
+    parser.close()
+    parser._end_row()
+    return parser.rows if parser.seen or within is None else None
+
+
+def plain_name(name: str) -> bool:
+    """Whether a decoded name is a file's own, as ``urls.safe_filename`` has it."""
+    return bool(name) and not re.search(r"[/\\\x00-\x1f\x7f]|\.\.|%(?![0-9a-fA-F]{2})", name) and name != "." and not re.search(r"[/\\\x00-\x1f\x7f]|\.\.", unquote(name))
+
+
+def linked_file(href: str, directory: str) -> str:
+    """The file of the ``directory`` (a path with slashes at both ends) that a link leads to; raises for any other link."""
+    if not href or re.search(r"[\\\x00]", href):
+        raise InventoryError("unsafe link")
+    try:
+        to = urlsplit(href)
+        port = to.port
+    except ValueError:
+        raise InventoryError("invalid link") from None
+    if to.scheme and (to.scheme.casefold() != "https" or not to.netloc) or to.username is not None or to.password is not None or port not in (None, 443) or to.netloc and (to.hostname or "").casefold() not in urls.HOSTS or "#" in href:
+        raise InventoryError("foreign link")
+    path = to.path
+    if path in VIEWERS:
+        try:
+            pairs = parse_qsl(to.query, keep_blank_values=True, strict_parsing=True, errors="strict")
+        except ValueError:
+            raise InventoryError("invalid viewer link") from None
+        if "&" in to.query or len(pairs) != 1 or pairs[0][0] != "doc":
+            raise InventoryError("viewer link of more than a document")
+        path, whole = pairs[0][1], True
+        if re.search(r"[%?#]", path):
+            raise InventoryError("unsafe link")
+    elif to.query:
+        raise InventoryError("query in a link")
+    else:
+        try:
+            path, whole = unquote(path, errors="strict"), False
+        except UnicodeDecodeError:
+            raise InventoryError("invalid link") from None
+    name = path.rpartition("/")[2]
+    if not path or re.search(r"[\\\x00%]", path) or not plain_name(name) or (whole or "/" in path) and path != directory + name:
+        raise InventoryError("link out of the directory")
+    return name
+
+
+def _decoded(raw: bytes, other: str) -> str:
+    try:
+        return raw.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        return raw.decode(other, "replace")
+
+
+def _mapped(df: DataFrame, keys: list[str], columns: list[Column], kinds: dict[str, pa.DataType], schema: str, read) -> DataFrame:
+    """``keys`` with the rows (dicts) that ``read`` makes of the values of ``columns``."""
+    kept = df.select(*keys, *(c.alias(f"__{k}") for k, c in enumerate(columns)))
+    n = len(keys)
+    whole = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:n]] + [schema])
+
+    def run(batches):
+        for batch in batches:
+            at, rows = [], []
+            for r, args in enumerate(zip(*batch.columns[n:], strict=True)):
+                found = read(*(x.as_py() for x in args))
+                at += [r] * len(found)
+                rows += found
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at, pa.int32())) for c in batch.columns[:n]), *(pa.array([x.get(k) for x in rows], t) for k, t in kinds.items())], names=[*keys, *kinds])
+
+    return kept.mapInArrow(run, whole)
+
+
+def detail_rows(payloads: DataFrame, keys: list[str], content: str, directory: Column) -> DataFrame:
+    """(keys, name, sequence, type, description, problem): the links of filing detail pages' document tables.
+
+    The sequence is the row's first cell, the description the cell before the link, the
+    type the one after it. A page without such a table, and one with an unsafe link, gives
+    one row with the problem.
+    """
+    kinds = dict.fromkeys(("name", "sequence", "type", "description", "problem"), pa.string())
+
+    def read(raw: bytes | None, path: str) -> list[dict]:
+        rows = table_rows(_decoded(raw or b"", "latin-1"), "tablefile")
+        if rows is None:
+            return [{"problem": "no_table"}]
+        out = []
+        for row in rows:
+            cells = row["cells"]
+            for href, at, _ in row["links"]:
+                try:
+                    name = linked_file(href, path)
+                except InventoryError as e:
+                    return [{"problem": str(e)}]
+                out.append({"name": name, "sequence": (cells[0].strip() if cells else "") or None, "description": (cells[at - 1].strip() if 0 < at <= len(cells) else "") or None, "type": (cells[at + 1].strip() if at + 1 < len(cells) else "") or None})
+        return out
+
+    body = F.col(content) if payloads.schema[content].dataType.typeName() == "binary" else F.encode(F.col(content), "utf-8")
+    return _mapped(payloads, keys, [body, directory], kinds, ", ".join(f"{k} string" for k in kinds), read)
+
+
+def candidates(filings: DataFrame, items: DataFrame, details: DataFrame) -> DataFrame:
+    """One row for each file of an index with its detail row, class, status, role, URL and id.
+
+    filings: filing_id, cik, accession, form, primary_document; items and details: those of
+    ``index_items`` and ``detail_rows`` without problems, under filing_id. Links to files that
+    the index doesn't list are navigation and left out; a file with two different rows has
+    ``conflict``.
+    """
+    info = F.struct("sequence", "type", "description")
+    known = details.join(items.select("filing_id", "name"), ["filing_id", "name"], "left_semi")
+    known = known.groupBy("filing_id", "name").agg(F.min(info).alias("d"), (F.to_json(F.min(info)) != F.to_json(F.max(info))).alias("conflict"))
+    all_items = items.select("filing_id", "place", "name", "metadata").join(known, ["filing_id", "name"], "left").join(filings.select("filing_id", "cik", "accession", "form", "primary_document"), "filing_id")
+    rows = all_items.select("filing_id", "form", "cik", "accession", "place", "name", "metadata", F.col("d.sequence").alias("sequence"), F.col("d.type").alias("type"), F.col("d.description").alias("description"), F.col("d").isNotNull().alias("in_detail"), F.coalesce("conflict", F.lit(False)).alias("conflict"), (F.col("name") == F.col("primary_document")).alias("is_primary"))
+    kind = document_class(F.col("name"), F.col("type"), F.col("description"), F.col("form"), F.col("is_primary"))
+    rows = rows.withColumn("class", kind).withColumn("evidence", strong_evidence(F.col("description"), F.col("form")))
+    url = F.concat(directory_url(F.col("cik"), F.col("accession")), urls.encoded(F.col("name")))
+    role = F.when(is_selected(F.col("class")), F.col("class")).otherwise(F.coalesce(xbrl_role(F.col("type"), F.col("name"), F.col("description")), F.lit("other")))
+    status = candidate_status(F.col("class"), generic_exhibit(F.col("type"), F.col("name")))
+    out = rows.withColumn("role", role).withColumn("selected", is_selected(F.col("class"))).withColumn("status", status).withColumn("url", url)
+    return out.withColumn("document_id", identity.inventory_document_id(F.col("filing_id"), F.col("url"))).drop("cik", "accession")
+
+
+def plans(rows: DataFrame, without_detail: DataFrame | None = None) -> DataFrame:
+    """One plan a filing from ``candidates``: filing_id, form, status, reasons, selected, problem.
+
+    without_detail: filing_id of filings whose detail page isn't there.
+    """
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("place", "name", F.col("class").alias("kind")))), lambda x: F.struct(x["name"].alias("name"), x["kind"].alias("kind")))
+    grouped = rows.groupBy("filing_id", "form").agg(
+        listed.alias("classes"),
+        F.bool_or(F.col("evidence").isNotNull() & F.col("class").isin("primary", "exhibit")).alias("strong"),
+        F.bool_or("is_primary").alias("primary"),
+        F.bool_or(F.col("is_primary") & F.col("in_detail")).alias("primary_detail"),
+        F.bool_or("conflict").alias("conflict"),
+    )
+    absent = F.lit(False)
+    if without_detail is not None:
+        grouped = grouped.join(without_detail.select("filing_id", F.lit(True).alias("_absent")).distinct(), "filing_id", "left")
+        absent = F.coalesce("_absent", F.lit(False))
+    form, classes, strong = F.col("form"), F.col("classes"), F.col("strong")
+    out = grouped.withColumn("review", review_reasons(form, classes, strong, ~absent, F.col("primary_detail"))).withColumn("said", informational_reasons(form, classes, strong))
+    status = plan_status(form, F.size("review") > 0, strong)
+    reasons = F.array_distinct(F.concat("review", "said"))
+    plain = F.array(F.when(form.isin(*COVER_FORMS), "Financial filing document explicitly identified by SEC metadata").otherwise("Financial filing body selected from its primary document"))
+    problem = F.when(~F.col("primary"), "primary document is missing from the index").when(F.col("conflict"), "a file with two detail rows")
+    selected = F.transform(F.filter(classes, lambda c: is_selected(c["kind"])), lambda c: c["name"])
+    out = out.withColumn("status", status).withColumn("reasons", F.when((status == "selected_financial") & (F.size(reasons) == 0), plain).otherwise(reasons))
+    return out.select("filing_id", "form", "status", "reasons", selected.alias("selected"), problem.alias("problem"))
+
+
+def cover_rows(covers: DataFrame, keys: list[str], content: str, directory: Column) -> DataFrame:
+    """(keys, ordinal, line, column, cell, exhibit, title, names, problem): the numbered exhibits of covers' tables.
+
+    names: the files of the directory that the row links to. Covers over ``COVER_LIMIT`` bytes
+    and those that aren't HTML have a row with the problem; so has a link elsewhere.
+    """
+    kinds = {"ordinal": pa.int32(), "line": pa.int32(), "column": pa.int32(), "cell": pa.int32(), "exhibit": pa.string(), "title": pa.string(), "names": pa.list_(pa.string()), "problem": pa.string()}
+    number = re.compile(COVER_NUMBER)
+
+    def read(raw: bytes | None, path: str) -> list[dict]:
+        raw = raw or b""
+        if len(raw) > COVER_LIMIT:
+            return [{"problem": "too_large"}]
+        if not COVER_HTML.search(raw[:8192]):
+            return [{"problem": "not_html"}]
+        out = []
+        for row in table_rows(_decoded(raw, "cp1252")):
+            at, m = next(((k, m) for k, c in enumerate(row["cells"]) if (m := number.match(c))), (None, None))
+            if m is None:
+                continue
+            try:
+                names = sorted({linked_file(href, path) for href, _, _ in row["links"]})
+            except InventoryError:
+                return [{"problem": "foreign_link"}]
+            out.append({k: row[k] for k in ("ordinal", "line", "column")} | {"cell": at + 1, "exhibit": m[1], "names": names, "title": " ".join(c for k, c in enumerate(row["cells"]) if k != at and c).strip()})
+        return out
+
+    schema = "ordinal int, line int, column int, cell int, exhibit string, title string, names array<string>, problem string"
+    body = F.col(content) if covers.schema[content].dataType.typeName() == "binary" else F.encode(F.col(content), "utf-8")
+    return _mapped(covers, keys, [body, directory], kinds, schema, read)
+
+
+def cover_title(title: Column, form: Column, description: Column) -> Column:
+    """What a cover row's title says that makes its exhibit financial, or null."""
+    said = folded(title)
+    around = folded(F.concat_ws(" ", said, F.coalesce(description, F.lit(""))))
+    phrase = first_phrase(said, [(p, p) for p in COVER_PHRASES])
+    discussion = F.when(any_phrase(said, DISCUSSION_PHRASES) & (F.upper(F.coalesce(form, F.lit(""))).isin(*PERIODIC_FORMS) | around.rlike(PERIOD_WORDS)), "management's discussion and analysis")
+    report = F.when(any_phrase(said, COVER_AUDITS), first_phrase(said, [(p, p) for p in COVER_REPORTS]))
+    return F.when((said != "") & ~clearly_nonfinancial(around), F.coalesce(phrase, discussion, report))
+
+
+def refine(plan: DataFrame, rows: DataFrame, covers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(plans, candidates) of 6-K and 40-F after their cover tables; other forms stay as they are.
+
+    plan: from ``plans``; rows: from ``candidates``; covers: from ``cover_rows`` under
+    filing_id. A row whose title is financial and which links to one listed file promotes that
+    file; one that can't is unresolved and asks for review.
+    """
+    owned = rows.select("filing_id", "form", F.col("name").alias("file"), "description", "class", "role", "status", "selected", "evidence")
+    base = plan.where(F.col("form").isin(*COVER_FORMS)).select("filing_id", F.col("status").alias("base"), "form")
+    listed = covers.where("problem is null").join(base, "filing_id").withColumn("row", F.struct("ordinal", "exhibit"))
+    linked = listed.select("filing_id", "row", "title", "base", "form", F.explode_outer("names").alias("file")).join(owned.drop("form"), ["filing_id", "file"], "left")
+    one = linked.groupBy("filing_id", "row", "title", "base", "form").agg(F.countDistinct(F.when(F.col("role").isNotNull(), F.col("file"))).alias("n"), F.max(F.when(F.col("role").isNotNull(), F.struct("file", "description", "role", "status", "selected", "evidence"))).alias("c"))
+    only = F.col("n") == 1
+    phrase = cover_title(F.col("title"), F.col("form"), F.when(only, F.col("c.description")))
+    chosen = (F.col("c.role") == "exhibit") & F.col("c.selected") & F.col("c.evidence").isNotNull()
+    free = (F.col("c.role") == "other") & ~F.col("c.status").isin("out_of_scope", "required") & ~F.col("c.selected")
+    fits = (chosen | free) & ending(F.col("c.file")).isin(*COVER_ENDINGS) & ~clearly_nonfinancial(F.col("c.description"))
+    why = (
+        F.when(phrase.isNull(), F.when((F.col("n") > 0) & (F.col("base") == "non_financial"), F.concat(F.lit("Primary Exhibit "), F.col("row.exhibit"), F.lit(" links to an indexed document but its title does not establish financial statements or an audited/reviewed annual/interim report"))))
+        .when(~only, F.concat(F.lit("Primary Exhibit "), F.col("row.exhibit"), F.lit(" explicitly names "), phrase, F.lit(" but does not uniquely match one indexed attachment")))
+        .when(~F.coalesce(fits, F.lit(False)), F.concat(F.lit("Primary Exhibit "), F.col("row.exhibit"), F.lit(" financial title conflicts with the indexed attachment classification")))
+    )
+    judged = one.withColumn("why", why).withColumn("proved", F.when(phrase.isNotNull() & why.isNull(), F.col("c.file")))
+    proof = judged.groupBy("filing_id").agg(F.collect_set("proved").alias("promoted"), F.array_distinct(F.transform(F.sort_array(F.collect_list(F.when(F.col("why").isNotNull(), F.struct("row", "why")))), lambda x: x["why"])).alias("unresolved"))
+    broken = covers.where("problem is not null").groupBy("filing_id").agg(F.first("problem").alias("broken"))
+    out = plan.join(proof, "filing_id", "left").join(broken, "filing_id", "left")
+    none = F.array().cast("array<string>")
+    promoted, unresolved = F.coalesce("promoted", none), F.coalesce("unresolved", none)
+    accession = F.element_at(F.split("filing_id", ":"), -1)
+    settled = F.concat(promoted, F.array(F.concat(accession, F.lit("-index.html")), F.concat(accession, F.lit("-index-headers.html"))))
+    about = lambda r: F.exists(settled, lambda f: r.startswith(F.concat(f, F.lit(" has an exhibit type but no explicit financial"))) | r.startswith(F.concat(f, F.lit(" lacks a conclusive SEC description/type"))))
+    cover_only = lambda r: (F.size(promoted) > 0) & (r.startswith("6-K has no explicitly described financial exhibit;") | r.startswith("40-F primary document may be a cover;"))
+    kept = F.filter("reasons", lambda r: ~about(r) & ~cover_only(r))
+    left = F.filter(kept, lambda r: ~(r.endswith("is described as non-financial material") | r.startswith("6-K exhibits are described as non-financial;")))
+    open_form = F.col("form").isin(*COVER_FORMS)
+    broke = F.col("broken").isNotNull() & open_form
+    said = F.when(F.col("broken") == "too_large", "Primary document exceeds the bounded primary-exhibit evidence parse limit; financial exhibit remains unverified").when(F.col("broken") == "not_html", "Primary document is not recognizable HTML for exhibit evidence review").otherwise("primary exhibit row contains a foreign, unsafe, or query-bearing href")
+    status = F.when(~open_form, F.col("status")).when(broke, "needs_review").when((F.size(promoted) > 0) & (F.size(left) == 0) & (F.size(unresolved) == 0), "selected_financial").when((F.size(promoted) > 0) | (F.size(unresolved) > 0), "needs_review").otherwise(F.col("status"))
+    reasons = F.when(~open_form, F.col("reasons")).when(broke, F.array_distinct(F.concat("reasons", F.array(said)))).otherwise(F.array_distinct(F.concat(kept, unresolved)))
+    problem = F.coalesce("problem", F.when(broke & (F.col("broken") == "foreign_link"), "foreign link in the cover"))
+    refined = out.select("filing_id", "form", status.alias("status"), reasons.alias("reasons"), F.when(open_form & ~broke, F.array_union("selected", promoted)).otherwise(F.col("selected")).alias("selected"), problem.alias("problem"))
+    raised = judged.where("proved is not null").select("filing_id", F.col("proved").alias("name"), F.lit(True).alias("_up")).distinct()
+    moved = rows.join(raised, ["filing_id", "name"], "left")
+    up = F.coalesce("_up", F.lit(False))
+    artifact = open_form & (F.col("role") == "other") & F.col("name").isin(F.concat(accession, F.lit("-index.html")), F.concat(accession, F.lit("-index-headers.html")))
+    moved = moved.withColumn("status", F.when(up, "required").when(artifact, "out_of_scope").otherwise(F.col("status"))).withColumn("role", F.when(up, "exhibit").otherwise(F.col("role"))).withColumn("selected", up | F.col("selected")).drop("_up")
+    return refined, moved
+
+
+def to_fetch(rows: DataFrame) -> DataFrame:
+    """The selected candidates that are fetched, the primary of each filing first by ``place``."""
+    wanted = F.col("selected") & (F.col("status") == "required") & F.col("role").isin("primary", *FETCHED_ROLES)
+    return rows.where(wanted).withColumn("place", F.when(F.col("role") == "primary", -1).otherwise(F.col("place"))).select("filing_id", "place", "name", "role", "url", "document_id")
+
+
+def coverage(content: Column, plan: Column, degraded: Column) -> Column:
+    return F.when((plan == "selected_financial") & (content == "full") & ~degraded, "complete").otherwise("partial")
+
+
+def content_status(documents: DataFrame, keys: list[str]) -> DataFrame:
+    """partial if any document is partial, failed or unsupported, unknown without any; otherwise full."""
+    flawed = F.bool_or(F.col("status").isin("partial", "failed", "unsupported"))
+    status = F.when(F.count("status") == 0, "unknown").when(flawed, "partial").otherwise("full")
+    return documents.groupBy(*keys).agg(status.alias("content_status"))

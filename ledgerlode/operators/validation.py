@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
+from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,17 +46,86 @@ def block_problems(samples: DataFrame) -> DataFrame:
     return samples.select("sample_id", problem.alias("problem")).where("problem is not null")
 
 
+#: Rows that a task writes for a year, in files of the size asked for.
+TASK_ROWS = 20_000
+
+
 def write_samples(samples: DataFrame, path: str, rows_per_file: int = 500) -> None:
-    """Year-partitioned Parquet, at most ``rows_per_file`` rows a file; rows of a year are spread over tasks by id."""
+    """Year-partitioned Parquet, at most ``rows_per_file`` rows a file; a year has as many tasks as its rows ask for, dealt by id."""
     dated = samples.withColumn("year", F.coalesce(F.year("filed_date").cast("string"), F.lit("unknown")))
-    salt = F.pmod(F.xxhash64("sample_id"), F.lit(16))
+    parts = [(r.year, -(-r["count"] // TASK_ROWS)) for r in dated.groupBy("year").count().collect()]  # a row a year
+    salt = F.lit(0)
+    if parts:
+        tasks = F.create_map(*(F.lit(x) for p in parts for x in p))
+        salt = F.pmod(F.xxhash64("sample_id"), F.coalesce(tasks[F.col("year")], F.lit(1)).cast("long"))
     dated.repartition("year", salt).sortWithinPartitions("year", "sample_id").write.option("maxRecordsPerFile", rows_per_file).partitionBy("year").mode("errorifexists").parquet(path)
 
 
+def shard_problems(spark: SparkSession, path: str) -> DataFrame:
+    """(path, problem) of shards that can't be read or whose footer has another schema than samples."""
+    wanted = [("sample_id", "string"), ("entity_id", "string"), ("filed_date", "date32[day]"), ("blocks", [("order_index", "int32"), ("block_type", "string"), ("text", "string")])]
+
+    def shape(schema):
+        return [(f.name, [(x.name, str(x.type)) for x in f.type.value_type] if pa.types.is_list(f.type) and pa.types.is_struct(f.type.value_type) else str(f.type)) for f in schema]
+
+    def read(batches):
+        for batch in batches:
+            found = []
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                try:
+                    problem = None if shape(pq.read_schema(pa.BufferReader(data.as_buffer()))) == wanted else "schema"
+                except (OSError, pa.ArrowException):
+                    problem = "unreadable"
+                found.append((name, problem))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in (0, 1)], names=["path", "problem"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", "content").mapInArrow(read, "path string, problem string").where("problem is not null")
+
+
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
+    """The samples under ``path``; a shard with another schema raises."""
+    bad = shard_problems(spark, path).orderBy("path").limit(1).collect()
+    if bad:
+        raise SampleError(f"{bad[0].problem} of {bad[0].path}")
     return spark.read.schema(SAMPLE + ", year string").parquet(path)
 
 
+def read_diagnostics(spark: SparkSession, path: str) -> DataFrame:
+    """The diagnostics under ``path``; a line that isn't JSON raises."""
+    lines = spark.read.text(path).where("value <> ''")
+    if lines.where(F.try_parse_json("value").isNull()).limit(1).count():
+        raise SampleError("diagnostics are invalid")
+    return spark.read.option("mode", "FAILFAST").json(path)
+
+
+def hadoop(spark: SparkSession, path: str):
+    """The file system of a path and the path, as Hadoop has them."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def apart(paths: dict[str, str], protected: list[str]) -> None:
+    """Raises where an output overlaps another one or a protected path, or goes through a link."""
+    plain = {k: re.sub(r"^file:/*", "/", v) for k, v in paths.items()}
+    for k, v in plain.items():
+        if "://" not in v and (link := next((p for p in (Path(v).absolute(), *Path(v).absolute().parents) if p.is_symlink()), None)):
+            raise SampleError(f"{k} goes through the link {link}")
+    whole = lambda p: p.rstrip("/") if "://" in p else str(Path(p).resolve(strict=False))
+    inside = lambda a, b: a == b or a.startswith(b + "/")
+    done: list[tuple[str, str]] = []
+    for k, v in plain.items():
+        own = whole(v)
+        if own == whole(".") or any(inside(own, whole(p)) or inside(whole(p), own) for p in protected) or any(own == o for _, o in done):
+            raise SampleError(f"{k} {v} overlaps protected data or another output")
+        done.append((k, own))
+
+
+def status_counts(diagnostics: DataFrame) -> DataFrame:
+    """One row: how many filings were emitted, skipped and failed, and the total."""
+    return diagnostics.agg(*(F.count_if(F.col("status") == k).alias(k) for k in ("emitted", "skipped", "failed")), F.count("*").alias("total"))
+
+
 def validate_samples(samples: DataFrame, diagnostics: DataFrame, identities: DataFrame) -> dict:
     """Counts of a sound publication; raises at the first flaw.
 
@@ -67,7 +140,7 @@ def validate_samples(samples: DataFrame, diagnostics: DataFrame, identities: Dat
         flaw = identity_problems(diagnostics.select(F.col("filing_id").alias("id")), identities).limit(1).collect()
     if flaw:
         raise SampleError(f"{flaw[0].id}: {flaw[0].problem}")
-    n = diagnostics.agg(*(F.count_if(F.col("status") == k).alias(k) for k in ("emitted", "skipped", "failed")), F.count("*").alias("total")).first().asDict()
+    n = status_counts(diagnostics).first().asDict()
     rows = samples.count()
     if rows != n["emitted"]:
         raise SampleError(f"{rows} samples for {n['emitted']} emitted filings")
@@ -80,15 +153,13 @@ def publish(spark: SparkSession, samples: DataFrame, diagnostics: DataFrame, ide
     Renames go through Hadoop's file system, so any store that Spark writes to will do; an
     earlier publication is put back if the swap fails.
     """
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(out)
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stage, backup = (jvm.org.apache.hadoop.fs.Path(f"{out}.{k}") for k in ("staging", "backup"))
+    fs, at = hadoop(spark, out)
+    (_, stage), (_, backup) = (hadoop(spark, f"{out}.{k}") for k in ("staging", "backup"))
     fs.delete(stage, True)
     write_samples(samples, f"{out}.staging/samples")
     diagnostics.orderBy("filing_id").write.json(f"{out}.staging/diagnostics")
     identities.select("id").distinct().orderBy("id").write.json(f"{out}.staging/identities")
-    written = spark.read.json(f"{out}.staging/diagnostics")
+    written = read_diagnostics(spark, f"{out}.staging/diagnostics")
     result = validate_samples(read_samples(spark, f"{out}.staging/samples"), written, spark.read.json(f"{out}.staging/identities"))
     held = fs.exists(at)
     if held:

@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerlode import cli
 from ledgerlode.functions import dates, identity, text, urls
 from ledgerlode.operators import catalog, markup, selection, validation
+from ledgerlode.plans import filings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -35,10 +37,10 @@ def query(name: str, sql: str | None = None):
   CASE WHEN count(DISTINCT nullif(lang, '')) > 1 OR count(DISTINCT nullif(source, '')) > 1 THEN NULL ELSE max(nullif(lang, '')) END AS lang,
   CASE WHEN count(DISTINCT nullif(lang, '')) > 1 OR count(DISTINCT nullif(source, '')) > 1 THEN NULL ELSE max(nullif(source, '')) END AS source,
   count(DISTINCT nullif(lang, '')) > 1 OR count(DISTINCT nullif(source, '')) > 1 AS conflict
-FROM documents WHERE text IS NOT NULL GROUP BY 1""",
+FROM documents GROUP BY 1""",
 )
 def q01(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents").where("text is not null").select(F.sha2("text", 256).alias("text_sha256"), "lang", "source")
+    docs = _t(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("text_sha256"), "lang", "source")
     return catalog.coalesce_rows(docs, ["text_sha256"], ["lang", "source"]).select("text_sha256", "n_rows", "lang", "source", "conflict")
 
 
@@ -57,18 +59,23 @@ def q03(spark, sf_dir):
     return docs.select("doc_id", F.posexplode(text.numbers(F.col("text"))).alias("place", "number"), text.keeps_numbers(F.col("text"), text.clean(F.col("text"))).alias("kept"))
 
 
-_TERMS = " OR ".join("contains(low, '{}')".format(t.replace("'", "''")) for t in text.STATEMENT_TERMS)
+#: The type of a block by its text in lower case; a word ends where no letter, digit or underscore goes on.
+_TYPE = r"""CASE WHEN contains(low, 'balance sheet') OR contains(low, 'income statement') OR contains(low, 'cash flow') OR contains(low, 'statement of operations') OR contains(low, 'statement of comprehensive') THEN 'financial_statement'
+  WHEN regexp_matches(low, '(^|[^\p{L}\p{N}_])note\s+\d+($|[^\p{L}\p{N}_])') OR starts_with(low, 'notes to') THEN 'note' WHEN regexp_matches(low, '(^|[^\p{L}\p{N}_])(item|part)\s+[0-9ivx]+($|[^\p{L}\p{N}_])') THEN 'other_context' ELSE 'unknown' END"""
+#: A phrase that decides a type, or nearly does, put before every other text.
+_LEADS = ("", "Consolidated Balance Sheets: ", "see Note 12 on ", "Notes to all ", "under Item 7a or ", "footnote 3 and items 2 ", "(PART IV) ", "Statement of  operations ")
+_LEAD = "['" + "', '".join(_LEADS) + "']"
 
 
 @query(
     "q04_classify",
-    f"""WITH b AS (SELECT 'doc' AS origin, CAST(doc_id AS VARCHAR) AS id, lower(text) AS low FROM documents
+    f"""WITH b AS (SELECT 'doc' AS origin, CAST(doc_id AS VARCHAR) AS id, lower({_LEAD}[CAST(doc_id % 8 AS INTEGER) + 1] || text) AS low FROM documents
   UNION ALL SELECT 'turn', conv_id || '-' || turn, lower(text) FROM conversations)
-SELECT origin, id, CASE WHEN {_TERMS} THEN 'financial_statement' WHEN regexp_matches(low, '^notes? +(to |[0-9]+)') THEN 'note'
-  WHEN regexp_matches(low, '^(item|part) +[0-9ivx]+') THEN 'other_context' ELSE 'unknown' END AS block_type FROM b""",
+SELECT origin, id, {_TYPE} AS block_type FROM b WHERE low IS NOT NULL UNION ALL SELECT origin, id, 'unknown' FROM b WHERE low IS NULL""",
 )
 def q04(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents").select(F.lit("doc").alias("origin"), F.col("doc_id").cast("string").alias("id"), "text")
+    lead = F.element_at(F.array(*map(F.lit, _LEADS)), (F.col("doc_id") % 8 + 1).cast("int"))
+    docs = _t(spark, sf_dir, "documents").select(F.lit("doc").alias("origin"), F.col("doc_id").cast("string").alias("id"), F.concat(lead, "text").alias("text"))
     turns = _t(spark, sf_dir, "conversations").select(F.lit("turn"), F.concat_ws("-", "conv_id", "turn"), "text")
     return docs.union(turns).select("origin", "id", text.block_type(F.col("text"), F.lit("text")).alias("block_type"))
 
@@ -81,9 +88,7 @@ _LINE = r"trim(regexp_replace(l, '[ \t\x{1f}\x{a0}\x{1680}\x{2000}-\x{200a}\x{20
     "q05_blocks",
     f"""WITH s AS (SELECT doc_id, unnest({_LINES}) AS l, unnest(range(len({_LINES}))) AS p FROM documents),
 c AS (SELECT doc_id, p, {_LINE} AS text FROM s)
-SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS INTEGER) AS order_index,
-  CASE WHEN {_TERMS.replace("low", "lower(text)")} THEN 'financial_statement' WHEN regexp_matches(lower(text), '^notes? +(to |[0-9]+)') THEN 'note'
-  WHEN regexp_matches(lower(text), '^(item|part) +[0-9ivx]+') THEN 'other_context' ELSE 'unknown' END AS block_type, text
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS INTEGER) AS order_index, {_TYPE.replace("low", "lower(text)")} AS block_type, text
 FROM c WHERE text <> ''""",
 )
 def q05(spark, sf_dir):
@@ -91,10 +96,10 @@ def q05(spark, sf_dir):
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested sample for each document: ordered, typed, nonblank blocks. No shuffle: a document's lines stay in its row."""
-    blocks = F.filter(F.transform(F.split("text", text.LINE_END), text.clean), lambda x: x != "")
+    """One nested sample for each document: ordered, typed, nonblank blocks; a null text has none. No shuffle: a document's lines stay in its row."""
+    blocks = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), text.LINE_END), text.clean_line), lambda x: x != "")
     typed = F.transform(blocks, lambda x, i: F.struct(i.alias("order_index"), text.block_type(x, F.lit("text")).alias("block_type"), x.alias("text")))
-    return _t(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", typed.alias("blocks"))
+    return _t(spark, sf_dir, "documents").select("doc_id", "source", typed.alias("blocks"))
 
 
 @query(
@@ -107,16 +112,6 @@ def q06(spark, sf_dir):
     return validation.shard_sizes(orders, "year", 500)
 
 
-@query(
-    "q07_status_counts",
-    """SELECT CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS emitted, CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS skipped, CAST(count_if(o_orderstatus = 'P') AS BIGINT) AS failed, count(*) AS total FROM orders""",
-)
-def q07(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders")
-    marks = [F.count_if(F.col("o_orderstatus") == k).alias(n) for k, n in (("F", "emitted"), ("O", "skipped"), ("P", "failed"))]
-    return orders.agg(*marks, F.count("*").alias("total"))
-
-
 @query(
     "q08_identity_checks",
     """SELECT 'unknown_id' AS problem, doc_id AS id, 1::BIGINT AS n FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)
@@ -177,18 +172,21 @@ def q13(spark, sf_dir):
 
 @query("q14_html_blocks")
 def q14(spark, sf_dir):
-    return markup.html_blocks(_t(spark, sf_dir, "pages"), ["page_id"], "html")
+    pages = _t(spark, sf_dir, "pages").select("page_id", F.col("html").alias("content"))
+    return markup.block_rows(markup.content(pages, ["page_id"]), ["page_id"])
 
 
 @query("q15_visible_text")
 def q15(spark, sf_dir):
-    blocks = markup.html_blocks(_t(spark, sf_dir, "pages"), ["page_id"], "html")
-    return blocks.groupBy("page_id").agg(F.count("*").alias("n_blocks"), F.sum(F.length("text")).alias("visible_chars"), F.max(F.col("text").contains("track(")).alias("has_script"))
+    pages = _t(spark, sf_dir, "pages").select("page_id", F.col("html").alias("content"))
+    parsed = markup.content(pages, ["page_id"])
+    return parsed.select("page_id", F.size("blocks").alias("n_blocks"), "covered_chars", "hidden", F.exists("blocks", lambda b: b["text"].contains("track(")).alias("has_script"))
 
 
 @query("q16_text_blocks")
 def q16(spark, sf_dir):
-    return markup.text_blocks(_t(spark, sf_dir, "documents"), ["doc_id"], "text")
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    return markup.block_rows(markup.content(docs, ["doc_id"]), ["doc_id"])
 
 
 @query(
@@ -198,66 +196,7 @@ g AS (SELECT doc_id, p, l, {_LINE} = '' AS blank, count_if({_LINE} = '') OVER (P
 SELECT doc_id, CAST(min(p) AS INTEGER) AS first, string_agg(l, chr(10) ORDER BY p) AS text FROM g WHERE NOT blank GROUP BY doc_id, g""",
 )
 def q16p(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.inline(text.paragraphs(F.col("text"))))
-
-
-@query(
-    "q17_carry_forward",
-    """SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS user_turn,
-  CAST(count_if(role = 'user') OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS BIGINT) AS section FROM conversations""",
-)
-def q17(spark, sf_dir):
-    so_far = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    user = F.col("role") == "user"
-    return _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.last(F.when(user, F.col("turn")), True).over(so_far).alias("user_turn"), F.count_if(user).over(so_far).alias("section"))
-
-
-@query(
-    "q18_data_table",
-    """WITH c AS (SELECT l_orderkey, l_linenumber, [CAST(l_linenumber AS VARCHAR), l_returnflag, CASE WHEN l_quantity > 25 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ',000' ELSE '' END,
-  CASE WHEN l_discount > 0.05 THEN '$ ' || CAST(CAST(l_extendedprice AS BIGINT) AS VARCHAR) ELSE '(1)' END] AS cells FROM lineitem),
-r AS (SELECT l_orderkey, len(list_filter(cells[2:], lambda x: regexp_full_match(x, '[-+]?\\(?[$]? ?([0-9][0-9,]*(\\.[0-9]+)?|\\.[0-9]+)\\)?%?') AND NOT regexp_full_match(x, '(19|20)[0-9][0-9]|\\([0-9]{1,2}\\)|[0-9]{1,2}\\.'))) AS n,
-  len(list_filter(cells, lambda x: regexp_matches(x, '[$(%]'))) > 0 AS mark FROM c)
-SELECT l_orderkey, count_if(n >= 2) > 0 OR count_if(n = 1) >= 2 OR (count_if(n = 1) = 1 AND bool_or(n >= 1 AND mark)) AS data_table, count(*) AS n_rows FROM r GROUP BY l_orderkey""".replace("\\\\", "\\"),
-)
-def q18(spark, sf_dir):
-    cells = F.array(
-        F.col("l_linenumber").cast("string"),
-        F.col("l_returnflag"),
-        F.when(F.col("l_quantity") > 25, F.concat(F.col("l_quantity").cast("long").cast("string"), F.lit(",000"))).otherwise(""),
-        F.when(F.col("l_discount") > 0.05, F.concat(F.lit("$ "), F.rint("l_extendedprice").cast("long").cast("string"))).otherwise("(1)"),
-    )
-    return selection.data_tables(_t(spark, sf_dir, "lineitem").select("l_orderkey", cells.alias("cells")), ["l_orderkey"], "cells")
-
-
-_KIND = r"""CASE WHEN regexp_matches(regexp_replace(body, '(?is)<pre[^>]*>.*?</pre>', '', 'g'), '(?i)<t[rd][\s>/]') THEN 'html' WHEN regexp_matches(body, '(?i)<pre[\s>]') AND regexp_matches(body, '(?i)<(html|body)[\s>]') THEN 'html_pre'
-  WHEN regexp_matches(body, '(?im)^[ \t]*<(page|table|caption|s|c|document|text|type)>') THEN 'legacy_text' WHEN regexp_matches(body, '(?i)</?(html|body|head|div|p|table|span|br|h[1-6]|article|ul|li)[\s>/]') THEN 'html' ELSE 'legacy_text' END"""
-
-
-@query("q19_payload_kind", f"""SELECT 'page' AS origin, page_id AS id, {_KIND.replace("body", "html")} AS kind FROM pages UNION ALL SELECT 'doc', doc_id, {_KIND.replace("body", "text")} FROM documents""")
-def q19(spark, sf_dir):
-    pages = _t(spark, sf_dir, "pages").select(F.lit("page").alias("origin"), F.col("page_id").alias("id"), F.col("html").alias("body"))
-    docs = _t(spark, sf_dir, "documents").select(F.lit("doc"), "doc_id", "text")
-    return pages.union(docs).select("origin", "id", markup.payload_kind(F.col("body")).alias("kind"))
-
-
-@query("q20_envelopes", """SELECT doc_id, 'EX-13' AS type, 'doc.txt' AS filename, sha256(text) AS payload_sha256, 'ok' AS status FROM documents WHERE text IS NOT NULL""")
-def q20(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents").where("text is not null")
-    wrapped = F.concat(F.lit("<DOCUMENT>\n<TYPE>EX-13\n<FILENAME>doc.txt\n<TEXT>\n"), "text", F.lit("\n</TEXT>\n</DOCUMENT>\n"))
-    return markup.envelopes(docs.select("doc_id", wrapped.alias("raw")), ["doc_id"], "raw").select("doc_id", "type", "filename", F.sha2("payload", 256).alias("payload_sha256"), "status")
-
-
-@query(
-    "q21_url_policy",
-    r"""WITH u AS (SELECT page_id, url, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS rest FROM pages),
-v AS (SELECT *, lower(regexp_extract(rest, '^(?:[^@]*@)?([^:]*)', 1)) AS host, regexp_extract(rest, ':([^:@]*)$', 1) AS port FROM u)
-SELECT page_id, CASE WHEN url IS NULL OR regexp_matches(url, '[\x00-\x20\x7f\\]') THEN 'control_character' WHEN NOT regexp_matches(url, '^https://') THEN 'scheme' WHEN contains(rest, '@') THEN 'credentials'
-  WHEN port NOT IN ('', '443') THEN 'port' WHEN host NOT IN ('data.sec.gov', 'www.sec.gov') THEN 'host' ELSE 'other' END AS problem FROM v""",
-)
-def q21(spark, sf_dir):
-    problem = urls.url_problem(F.col("url"))
-    return _t(spark, sf_dir, "pages").select("page_id", F.when(problem.isin("ok", "fragment", "query", "traversal"), "other").otherwise(problem).alias("problem"))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.inline(text.paragraphs(F.coalesce("text", F.lit("")))))
 
 
 @query(
@@ -270,18 +209,6 @@ def q22(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", urls.url_host(F.col("url")).alias("host"), part("[?&]page=([^&#]*)").alias("page"), part(r"([^/?#]+)(?:[?#].*)?$").alias("basename"))
 
 
-@query(
-    "q23_phrase_rules",
-    """SELECT p_partkey, CASE WHEN contains(lower(p_type), 'brass') THEN 'non_financial' WHEN contains(lower(p_type), 'steel') OR contains(lower(p_type), 'copper') THEN 'strong'
-  WHEN regexp_matches(lower(p_name), '^part#?[0-9]+') THEN 'generic' ELSE 'unknown' END AS evidence FROM part""",
-)
-def q23(spark, sf_dir):
-    part = _t(spark, sf_dir, "part")
-    rules = [("brass", "non_financial"), ("steel", "strong"), ("copper", "strong")]
-    found = selection.first_phrase(F.lower("p_type"), rules)
-    return part.select("p_partkey", F.coalesce(found, F.when(F.lower("p_name").rlike("^part#?[0-9]+"), "generic"), F.lit("unknown")).alias("evidence"))
-
-
 @query(
     "q24_plan_status",
     """WITH p AS (SELECT l_orderkey, bool_or(l_returnflag = 'R') AS review, bool_or(l_linestatus = 'F') AS strong, ['10-K', '6-K', '40-F'][CAST(l_orderkey % 3 AS INTEGER) + 1] AS form FROM lineitem GROUP BY l_orderkey)
@@ -304,18 +231,6 @@ def q25(spark, sf_dir):
     return docs.union(pages)
 
 
-@query(
-    "q26_overrides",
-    """SELECT s_suppkey, coalesce(lpad(CAST(CASE WHEN s_nationkey % 5 = 0 THEN n_regionkey END AS VARCHAR), 10, '0'), lpad(CAST(s_suppkey AS VARCHAR), 10, '0')) AS cik10, lower(n_name) AS exchange
-FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey IN (1, 2, 3)""",
-)
-def q26(spark, sf_dir):
-    nation = _t(spark, sf_dir, "nation")
-    joined = _t(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left").where(F.col("n_regionkey").isin(1, 2, 3))
-    override = F.when(F.col("s_nationkey") % 5 == 0, F.lpad(F.col("n_regionkey").cast("string"), 10, "0"))
-    return joined.select("s_suppkey", F.coalesce(override, F.lpad(F.col("s_suppkey").cast("string"), 10, "0")).alias("cik10"), F.lower("n_name").alias("exchange"))
-
-
 @query("q27_pending", """SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""")
 def q27(spark, sf_dir):
     done = _t(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
@@ -354,8 +269,9 @@ def q30(spark, sf_dir):
 UNION ALL (SELECT 'doc', doc_id, NULL FROM documents ORDER BY doc_id LIMIT 50)""",
 )
 def q31(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders").orderBy("o_orderdate", "o_orderkey").limit(100).select(F.lit("order").alias("origin"), F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("filed"))
-    return orders.union(_t(spark, sf_dir, "documents").orderBy("doc_id").limit(50).select(F.lit("doc"), "doc_id", F.lit(None).cast("date")))
+    orders = cli.chosen(spark, _t(spark, sf_dir, "orders"), None, 100, ["o_orderdate", "o_orderkey"]).select(F.lit("order").alias("origin"), F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("filed"))
+    docs = cli.chosen(spark, _t(spark, sf_dir, "documents"), None, 50, ["doc_id"])
+    return orders.union(docs.select(F.lit("doc"), "doc_id", F.lit(None).cast("date")))
 
 
 @query(
@@ -395,3 +311,7 @@ def q35(spark, sf_dir):
     parts = hashed.groupBy("source", F.substring("h", 1, 4).alias("k")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ","), 256).alias("d"))
     listed = F.transform(F.sort_array(F.collect_list(F.struct("k", "d"))), lambda x: x.d)
     return parts.groupBy("source").agg(F.sum("n").alias("n"), F.sha2(F.array_join(listed, ","), 256).alias("fingerprint"))
+
+
+QUERIES |= filings.QUERIES
+ORACLE |= filings.ORACLE

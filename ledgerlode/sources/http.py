@@ -12,7 +12,7 @@ import urllib.request
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from email.utils import parsedate_to_datetime
-from urllib.parse import unquote, urljoin, urlsplit
+from urllib.parse import unquote, urljoin, urlsplit, urlunsplit
 
 HOSTS = ("data.sec.gov", "www.sec.gov")
 CHUNK = 64 << 10
@@ -76,39 +76,102 @@ class Response:
     body: bytes
 
 
-def checked_url(url: str, hosts: tuple[str, ...] = HOSTS, queries: bool = False) -> str:
-    """The URL itself, or ``UnsafeUrl``: https, a listed host, the usual port, nothing hidden, no way out of its path."""
-    if not isinstance(url, str) or re.search(r"[\x00-\x20\x7f\\]", url):
+#: Host names of no public network, and how often a path is decoded.
+LOCAL_HOSTS = ("localhost", ".localhost", ".local", ".localdomain")
+DECODES = 5
+_LABEL = re.compile(r"[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?")
+
+
+def _parts(url: str, scheme: str):
+    """The parts of an absolute URL without hidden characters, credentials, odd ports or a way out of its path."""
+    if not isinstance(url, str) or not url or re.search(r"[\x00-\x1f\x7f]", url):
         raise UnsafeUrl("control character")
+    if re.search(r"%(?![0-9a-fA-F]{2})", url):
+        raise UnsafeUrl("malformed percent escape")
     try:
         parts = urlsplit(url)
         port = parts.port
     except ValueError as e:
         raise UnsafeUrl(str(e)) from e
-    if parts.scheme != "https":
+    if parts.scheme.casefold() != scheme or not parts.netloc:
         raise UnsafeUrl("scheme")
-    if "@" in parts.netloc:
+    if parts.username is not None or parts.password is not None:
         raise UnsafeUrl("credentials")
-    if port not in (None, 443):
+    if port not in (None, 443 if scheme == "https" else 80):
         raise UnsafeUrl("port")
-    host = (parts.hostname or "").rstrip(".")
-    try:
-        ipaddress.ip_address(host)
-        raise UnsafeUrl("address")
-    except ValueError:
-        pass
-    if host not in hosts:
+    path = parts.path
+    for _ in range(DECODES):
+        now = unquote(path)
+        if now == path:
+            break
+        path = now
+    else:
+        raise UnsafeUrl("nested escapes")
+    if re.search(r"[\\\x00-\x1f\x7f]|(?:^|/)\.{1,2}(?:/|$)|^//", path):
+        raise UnsafeUrl("traversal")
+    return parts
+
+
+def checked_url(url: str, hosts: tuple[str, ...] = HOSTS, queries: bool = False) -> str:
+    """The URL itself, or ``UnsafeUrl``: https, a listed host, the usual port, nothing hidden, no way out of its path."""
+    parts = _parts(url, "https")
+    if (parts.hostname or "").casefold() not in hosts:
         raise UnsafeUrl("host")
     if "#" in url or "?" in url and not queries:
         raise UnsafeUrl("query or fragment")
-    path = parts.path
-    for _ in range(6):
-        if re.search(r"(^|[/\\])\.{1,2}([/\\]|$)|[\\\x00-\x1f\x7f]", path):
-            raise UnsafeUrl("traversal")
-        path = unquote(path)
     return url
 
 
+def canonical_host(host: str, dotted: bool = False) -> str:
+    """A public host's exact name in lower case and ASCII, or ``ValueError``; with ``dotted``, a dot at the end is dropped."""
+    if not isinstance(host, str):
+        raise ValueError("a host is a name")
+    name = host.strip().lower()
+    name = name[:-1] if dotted and name.endswith(".") else name
+    try:
+        name = name.encode("idna").decode("ascii").lower()
+    except UnicodeError as e:
+        raise ValueError(f"bad host {host!r}") from e
+    labels = name.split(".")
+    plain = len(labels) >= 2 and len(name) <= 253 and all(map(_LABEL.fullmatch, labels)) and not all(x.isdigit() for x in labels)
+    if not plain or any(name == x or x[0] == "." and name.endswith(x) for x in LOCAL_HOSTS):
+        raise ValueError(f"bad host {host!r}")
+    try:
+        ipaddress.ip_address(name)
+    except ValueError:
+        return name
+    raise ValueError("an address isn't a host name")
+
+
+def allowed_hosts(hosts) -> tuple[str, ...]:
+    if isinstance(hosts, str | bytes):
+        raise ValueError("hosts must be a collection")
+    return tuple(sorted({canonical_host(h, dotted=True) for h in hosts}))
+
+
+def checked_resource(url: str, hosts: tuple[str, ...], scheme: str = "https") -> str:
+    """The URL with its host's exact name, or ``UnsafeUrl``; ``hosts`` are those of ``allowed_hosts``."""
+    parts = _parts(url, scheme)
+    if "?" in url or "#" in url:
+        raise UnsafeUrl("query or fragment")
+    if parts.netloc.endswith(":"):
+        raise UnsafeUrl("port")
+    try:
+        host = canonical_host(parts.hostname or "")
+    except ValueError as e:
+        raise UnsafeUrl("host") from e
+    if host not in hosts:
+        raise UnsafeUrl("host")
+    return urlunsplit((scheme, host, parts.path or "/", "", ""))
+
+
+def upgraded(url: str, hosts: tuple[str, ...]) -> str:
+    """The https form of a resource named by http or https; nothing is ever asked for without encryption."""
+    if urlsplit(url).scheme.casefold() == "http":
+        url = "https" + checked_resource(url, hosts, "http")[4:]
+    return checked_resource(url, hosts)
+
+
 def checked_agent(agent: str) -> str:
     """A user agent with the address of a person."""
     m = re.search(r"[\w.+-]+@([\w-]+\.)+[a-z]{2,}", agent or "", re.I)
@@ -224,7 +287,7 @@ class Client:
     def _once(self, url: str) -> Response:
         seen = set()
         for _ in range(self.redirects + 1):
-            checked_url(url, self.hosts)
+            url = self._checked(url)
             if url in seen:
                 raise BadRedirect(f"loop at {url}")
             seen.add(url)
@@ -239,6 +302,9 @@ class Client:
             return Response(url, raw.status, headers, self._body(raw, headers) if raw.status == 200 else b"")
         raise BadRedirect(f"too many hops to {url}")
 
+    def _checked(self, url: str) -> str:
+        return checked_url(url, self.hosts)
+
     def _body(self, raw, headers: dict[str, str]) -> bytes:
         length = headers.get("content-length")
         if length is not None and not re.fullmatch("[0-9]{1,18}", length.strip()):
@@ -254,3 +320,19 @@ class Client:
         if length is not None and size != int(length):
             raise Incomplete(f"{size} of {length} bytes")
         return b"".join(parts)
+
+
+@dataclass
+class ResourceClient(Client):
+    """A client of an explicit list of hosts, for taxonomies; names that say http are asked for by https, redirects must be https."""
+
+    def __post_init__(self):
+        super().__post_init__()
+        self.hosts = allowed_hosts(self.hosts)
+
+    def _checked(self, url: str) -> str:
+        return checked_resource(url, self.hosts)
+
+    def fetch(self, url: str) -> Response:
+        """One resource; ``url`` of the response is where it came from."""
+        return self.get(upgraded(url, self.hosts))

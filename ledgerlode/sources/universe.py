@@ -30,10 +30,11 @@ def listed(universe: DataFrame, exchanges: list[str]) -> DataFrame:
 
 
 def overrides(spark: SparkSession, path: str) -> DataFrame:
-    """(ticker, cik10) of a JSON object; a broken file has none."""
+    """(ticker, cik10) of the object under ``overrides`` in a JSON file, or of the file itself; a broken file has none."""
     raw = spark.read.text(path, wholetext=True)
-    pairs = raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("ticker", "cik"))
-    return pairs.select(F.upper("ticker").alias("ticker"), F.lpad(F.col("cik").try_cast("long").cast("string"), 10, "0").alias("cik10")).where("cik10 is not null")
+    held = F.coalesce(F.from_json("value", "overrides map<string,string>")["overrides"], F.from_json("value", "map<string,string>"))
+    pairs = raw.select(F.explode(held).alias("ticker", "cik")).select(F.upper(F.trim("ticker")).alias("ticker"), F.trim("cik").alias("cik"))
+    return pairs.where(F.col("cik").rlike("^[0-9]{1,10}$") & (F.col("ticker") != "")).select("ticker", F.lpad("cik", 10, "0").alias("cik10"))
 
 
 def with_overrides(universe: DataFrame, own: DataFrame) -> DataFrame:
@@ -45,3 +46,27 @@ def resolve(universe: DataFrame, tickers: DataFrame) -> tuple[DataFrame, DataFra
     """The issuers of ``tickers``, and the tickers that nobody has."""
     asked = tickers.select(F.upper(F.trim("ticker")).alias("ticker")).distinct()
     return asked.join(universe, "ticker"), asked.join(universe, "ticker", "left_anti")
+
+
+def corrected(mapping: DataFrame, own: DataFrame) -> DataFrame:
+    """(ticker, cik10) of a mapping with ``own`` corrections; a CIK that only a corrected ticker had leads to that ticker no more.
+
+    Each CIK keeps one ticker: that of a correction where there is one.
+    """
+    kept = mapping.join(own.select("ticker"), "ticker", "left_anti").join(own.select("cik10"), "cik10", "left_anti")
+    return kept.select("ticker", "cik10").union(own.select("ticker", "cik10"))
+
+
+def fetch(root: str, url: str, get, check) -> str:
+    """Fetches the list, asks ``check`` of its bytes whether it holds any issuer, and keeps it under its hash."""
+    import hashlib
+    from pathlib import Path
+
+    data = get(url)
+    if not check(data):
+        raise ValueError("the list has no issuer of the exchanges asked for")
+    path = Path(root) / f"{hashlib.sha256(data).hexdigest()}.json"
+    path.parent.mkdir(parents=True, exist_ok=True)
+    if not path.exists():
+        path.write_bytes(data)
+    return str(path)

@@ -11,6 +11,9 @@ DAY = datetime.date
 CIK = "0000000042"
 
 
+PAGE = f"CIK{CIK}-submissions-001.json"
+
+
 def acc(n):
     return f"{CIK}-24-{n:06d}"
 
@@ -27,7 +30,7 @@ def cache(tmp_path, resources):
             data = body if isinstance(body, bytes) else json.dumps(body).encode()
             name = f"{hashlib.sha256(key.encode()).hexdigest()[:8]}-{n}.json"
             (tmp_path / name).write_bytes(data)
-            manifest.setdefault(key, []).append({"path": name, "sha256": hashlib.sha256(data).hexdigest(), "byte_size": len(data), "url": "u", "status": "done"})
+            manifest.setdefault(key, []).append({"path": name, "sha256": hashlib.sha256(data).hexdigest(), "byte_size": len(data), "url": catalog.SUBMISSIONS_URL + (key.split(":")[2] if key.count(":") == 2 else f"CIK{key.split(chr(58))[1]}.json"), "status": "done"})
     (tmp_path / "manifest.json").write_text(json.dumps({"resources": manifest}))
     return str(tmp_path), manifest
 
@@ -104,26 +107,43 @@ def test_submission_shapes_that_are_rejected(spark):
 def test_ledger(spark, tmp_path):
     root, _ = cache(tmp_path, {f"submissions:{CIK}": [payload(ROWS)]})
     days = sessions(spark, [DAY(2024, 1, 11), DAY(2024, 1, 16), DAY(2024, 1, 17)])
-    ledger, mark = catalog.read_cached_catalog(spark, root, CIK, days)
-    rows = ledger.collect()
-    assert [(r.accession, r.visible_session, r.primary_document) for r in rows] == [(acc(1), DAY(2024, 1, 16), "a.htm"), (acc(2), DAY(2024, 1, 17), None)]
-    assert rows[0].acceptance_utc is not None and rows[1].acceptance_utc is None and rows[1].acceptance_raw
-    assert len(mark) == 64
+    found = catalog.read_cached_catalog(spark, root, "cik42", days)
+    rows = found.ledger.collect()
+    assert found.ledger.columns == list(catalog.LEDGER)
+    assert [(r.accession_number, r.effective_visible_session, r.primary_document_name, r.scope_status) for r in rows] == [(acc(1), DAY(2024, 1, 16), "a.htm", "included"), (acc(2), DAY(2024, 1, 17), None, "included")]
+    assert rows[0].acceptance_datetime_utc is not None and rows[1].acceptance_datetime_utc is None and rows[1].acceptance_datetime_raw
+    assert rows[0].source_submission_locator == "filings.recent[0]" and found.status == "complete"
+    body = {"cik10": CIK, "forms": sorted(catalog.APPROVED_FORMS), "resources": [{k: found.resources[0][k] for k in ("logical_key", "sha256", "byte_size")}], "input_status": "complete", "diagnostics": [], "xnys_sessions": ["2024-01-11", "2024-01-16", "2024-01-17"]}
+    assert found.fingerprint == hashlib.sha256(json.dumps(body, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    with pytest.raises(catalog.CatalogError, match="increasing"):
+        catalog.read_cached_catalog(spark, root, CIK, [DAY(2024, 1, 16), DAY(2024, 1, 11)])
 
 
 def test_ledger_fails_closed(spark, tmp_path):
-    root, _ = cache(tmp_path, {f"submissions:{CIK}": [payload(ROWS, ["gone.json"])]})
+    root, _ = cache(tmp_path, {f"submissions:{CIK}": [payload(ROWS, [PAGE])]})
     days = sessions(spark, [DAY(2024, 1, 11), DAY(2024, 1, 16), DAY(2024, 1, 17)])
     with pytest.raises(catalog.CatalogError, match="missing page"):
         catalog.read_cached_catalog(spark, root, CIK, days)
-    ledger, _ = catalog.read_cached_catalog(spark, root, CIK, days, allow_partial=True)
-    assert {r.input_status for r in ledger.collect()} == {"partial"}
+    found = catalog.read_cached_catalog(spark, root, 42, days, allow_partial=True)
+    assert found.status == "partial" and found.diagnostics == [f"missing_historical_page:{PAGE}"]
     with pytest.raises(catalog.CatalogError):
         catalog.checked_forms("10-K")
     with pytest.raises(catalog.CatalogError):
         catalog.checked_forms(["S-1"])
 
 
+def test_ledger_merges_pages_and_rejects_conflicts(spark, tmp_path):
+    page = {"fields": list(catalog.FIELDS), "data": [[acc(1), "2024-01-12", "", "", "10-Q", ""], [acc(9), "2024-01-15", "", "", "6-K", "z.htm"]]}
+    root, _ = cache(tmp_path, {f"submissions:{CIK}": [payload(ROWS, [PAGE])], f"submissions-page:{CIK}:{PAGE}": [page]})
+    days = [DAY(2024, 1, 11), DAY(2024, 1, 16), DAY(2024, 1, 17)]
+    rows = catalog.read_cached_catalog(spark, root, CIK, days).ledger.collect()
+    assert [(r.accession_number, r.scope_status, r.source_submission_locator) for r in rows] == [(acc(1), "included", "filings.recent[0]"), (acc(9), "candidate", "rows[1]"), (acc(2), "included", "filings.recent[1]")]
+    page["data"][0][4] = "10-K"
+    root, _ = cache(tmp_path, {f"submissions:{CIK}": [payload(ROWS, [PAGE])], f"submissions-page:{CIK}:{PAGE}": [page]})
+    with pytest.raises(catalog.ConflictError):
+        catalog.read_cached_catalog(spark, root, CIK, days)
+
+
 def test_latest_and_pending(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, n int, v string")
     assert {(r.k, r.n, r.v) for r in catalog.latest(df, ["k"], "n", ["v"]).collect()} == {("a", 2, "y"), ("b", 1, "z")}
@@ -132,4 +152,4 @@ def test_latest_and_pending(spark):
 
 def test_owned_keys(spark):
     df = spark.createDataFrame([(f"submissions:{CIK}",), (f"submissions-page:{CIK}:p",), ("submissions:1",), (f"x-submissions:{CIK}",), (f"submissions-page:{CIK}:",)], "k string")
-    assert [r.o is not None for r in df.select(catalog.owned_key(F.col("k")).alias("o")).collect()] == [True, True, False, False, False]
+    assert [r.o is not None for r in df.select(catalog.owned_key(F.col("k")).alias("o")).collect()] == [True, True, True, False, False]

@@ -21,6 +21,8 @@ def test_numbers(spark):
 def test_block_type(spark):
     got = column(spark, ["Consolidated Balance Sheets and balance sheet", "Note 3 on leases", "Item 7. Discussion", "Plain"], lambda c: text.block_type(c, F.lit("text")))
     assert got == ["financial_statement", "note", "other_context", "unknown"]
+    got = column(spark, ["a CASH FLOW of", "footnote 3", "see note 3b", "see note 3, below", "NOTES TO all", "the notes to", "under part iv of", "parts 1", "statements of operations"], lambda c: text.block_type(c, F.lit("text")))
+    assert got == ["financial_statement", "unknown", "unknown", "note", "note", "unknown", "other_context", "unknown", "unknown"]
     assert column(spark, ["Plain"], lambda c: text.block_type(c, F.lit("table"))) == ["financial_statement"]
 
 
@@ -30,7 +32,7 @@ def test_paragraphs(spark):
 
 
 def test_identifiers(spark):
-    assert column(spark, ["1", "CIK0000000042", "12345678901", "x", None, " 7 "], identity.cik10) == ["0000000001", "0000000042", None, None, None, "0000000007"]
+    assert column(spark, ["1", "CIK0000000042", "12345678901", "x", None, " 7 ", "cik42"], identity.cik10) == ["0000000001", "0000000042", None, None, None, "0000000007", "0000000042"]
     assert column(spark, ["0000000001-24-000002", "1-24-2", None], identity.is_accession) == [True, False, False]
     one, two = column(spark, ["", None], lambda c: identity.content_id(c, F.lit(0)))
     assert one == two and len(one) == 32
@@ -52,10 +54,13 @@ def test_urls(spark):
         "https://u:p@www.sec.gov/a": "credentials",
         "https://www.sec.gov:8080/a": "port",
         "https://example.com/a": "host",
-        "https://www.sec.gov/a?b": "query",
-        "https://www.sec.gov/a#b": "fragment",
+        "https://www.sec.gov/a?b": "query_or_fragment",
+        "https://www.sec.gov/a#b": "query_or_fragment",
         "https://www.sec.gov/%252e%252e/a": "traversal",
-        "https://www.sec.gov/a b": "control_character",
+        "https://www.sec.gov/%25252525252e/a": "nested_escapes",
+        "https://www.sec.gov/a%2": "percent",
+        "HTTPS://WWW.SEC.GOV:443/a b": "ok",
+        "https://www.sec.gov/a\n": "control_character",
     }
     assert column(spark, list(cases), urls.url_problem) == list(cases.values())
-    assert column(spark, ["a.htm", "../a", "%2e%2e", "a%2fb", ""], urls.safe_filename) == ["a.htm", None, None, None, None]
+    assert column(spark, ["a.htm", "../a", "%2e%2e", "a%2fb", "", "a..b", "a%", "a%20b"], urls.safe_filename) == ["a.htm", None, None, None, None, None, None, "a%20b"]
