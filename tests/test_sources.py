@@ -77,7 +77,7 @@ def test_redirects_are_checked():
     assert c.get(URL).url == "https://data.sec.gov/b"
 
 
-@pytest.mark.parametrize("url", ["http://data.sec.gov/a", "https://u@data.sec.gov/a", "https://data.sec.gov:444/a", "https://127.0.0.1/a", "https://example.com/", URL + "?q", URL + "#f", "https://data.sec.gov/../a", "https://data.sec.gov/%252e%252e/a", "https://data.sec.gov/a\\b", "https://data.sec.gov/a b", "https://data.sec.gov:x/"])
+@pytest.mark.parametrize("url", ["http://data.sec.gov/a", "https://u@data.sec.gov/a", "https://data.sec.gov:444/a", "https://127.0.0.1/a", "https://example.com/", URL + "?q", URL + "#f", "https://data.sec.gov/../a", "https://data.sec.gov/%252e%252e/a", "https://data.sec.gov/a\\b", "https://data.sec.gov/a\tb", "https://data.sec.gov:x/"])
 def test_unsafe_urls(url):
     with pytest.raises(http.UnsafeUrl):
         http.checked_url(url)
@@ -135,7 +135,10 @@ def test_financials_are_fetched_once(tmp_path):
 def test_macros_hide_the_key(tmp_path):
     cache = ingest.Cache(tmp_path)
     assert ingest.fetch_macros(cache, ["A", "B"], "https://x/obs", "KEY", lambda u: b"{}" if "=A" in u else b"<") == {"A": None, "B": "JSONDecodeError"}
-    assert "KEY" not in (tmp_path / "manifest.json").read_text()
+    assert "KEY" not in (tmp_path / "manifest.log").read_text()
+    cache.close()
+    assert "KEY" not in (tmp_path / "manifest.json").read_text() and not (tmp_path / "manifest.log").exists()
+    assert set(ingest.Cache(tmp_path).manifest()) == {"macro:A"}
 
 
 def test_settings(tmp_path):
@@ -150,3 +153,64 @@ def test_settings(tmp_path):
     with pytest.raises(config.ConfigError):
         config.load_secrets(tmp_path / "none.toml", "k")
     assert ingest.bar_range(datetime.date(2024, 1, 1), datetime.date(2024, 1, 31))[1] == datetime.date(2024, 2, 1)
+
+
+def test_resource_hosts():
+    hosts = http.allowed_hosts(["XBRL.sec.gov.", "www.w3.org"])
+    assert http.upgraded("http://xbrl.SEC.gov/a.xsd", hosts) == http.checked_resource("https://xbrl.sec.gov:443/a.xsd", hosts) == "https://xbrl.sec.gov/a.xsd"
+    for bad in ("https://sec.gov/a", "https://xbrl.sec.gov/%2e%2e/a", "https://u@xbrl.sec.gov/a", "https://xbrl.sec.gov:8443/a", "ftp://xbrl.sec.gov/a", "https://xbrl.sec.gov/a?b", "https://xbrl.sec.gov:/a"):
+        with pytest.raises(http.UnsafeUrl):
+            http.upgraded(bad, hosts)
+    for bad in ("localhost", "a.local", "10.0.0.1", "1.2", "x", "-a.org", "a..b"):
+        with pytest.raises(ValueError):
+            http.canonical_host(bad)
+    with pytest.raises(ValueError):
+        http.allowed_hosts("www.w3.org")
+
+
+def test_bars(tmp_path):
+    import pandas as pd
+
+    asked = []
+
+    def source(ticker, start, end):
+        asked.append((ticker, start, end))
+        if len(asked) == 1:
+            raise OSError("busy")
+        return pd.DataFrame({"Open": [1.0], "Close": [2.0]}, index=pd.to_datetime(["2024-01-02"])) if ticker == "abc" else pd.DataFrame()
+
+    day = datetime.date
+    path = ingest.fetch_bars("abc", day(2024, 1, 2), day(2024, 1, 3), tmp_path, source, sleep=lambda s: None)
+    assert path == tmp_path / "yahoo" / "ABC" / "2024-01-02_2024-01-03.csv" and path.read_text().startswith("date,Open,Close\n2024-01-02,1.0,2.0")
+    assert asked[-1] == ("abc", day(2024, 1, 2), day(2024, 1, 4)) and len(asked) == 2
+    assert ingest.fetch_bars("none", day(2024, 1, 2), day(2024, 1, 3), tmp_path, source) is None
+
+
+def test_in_flight_is_bounded():
+    import threading
+
+    from ledgerlode.sources import fetch
+
+    lock, now, most, taken = threading.Lock(), [0], [0], []
+
+    def items():
+        for i in range(20):
+            taken.append(i)
+            yield i
+
+    def work(i):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        with lock:
+            now[0] -= 1
+        return i
+
+    assert sorted(fetch.in_flight(items(), work, 3)) == list(range(20)) and most[0] <= 3
+    with pytest.raises(fetch.Unselected):
+        fetch.fetch_document({"selected": False, "status": "candidate", "url": URL}, None)
+    said = []
+    p = fetch.Progress(3, each=2, clock=iter(range(0, 100, 10)).__next__, say=said.append)
+    for k in range(3):
+        p.step(f"f{k}")
+    assert [x.split(" ")[0] for x in said] == ["2/3", "3/3"]
