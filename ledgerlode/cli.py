@@ -90,7 +90,7 @@ def run_build(spark: SparkSession, a, client=None) -> dict:
     fs, at = validation.hadoop(spark, a.out)
     if fs.exists(at) and len(fs.listStatus(at)) and not a.resume:
         raise validation.SampleError("output path must be absent or empty")
-    plans = degraded = None
+    plans = degraded = filings = None
     if a.documents:
         documents = spark.read.parquet(a.documents)
         documents = documents.join(chosen(spark, documents.select("filing_id").distinct(), a.filing_id, a.limit, ["filing_id"]), "filing_id", "left_semi")
@@ -103,7 +103,7 @@ def run_build(spark: SparkSession, a, client=None) -> dict:
         if not a.resume:
             fetched.delete(where, True)
         documents, plans, degraded = fetch.acquire(spark, filings, client, f"{landing}/{int(time.time())}", a.workers)
-    return samples.build_and_publish(spark, documents, a.out, work, a.resume, plans, degraded)
+    return samples.build_and_publish(spark, documents, a.out, work, a.resume, plans, degraded, filings)
 
 
 def run_validate(spark: SparkSession, a) -> dict:

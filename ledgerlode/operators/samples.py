@@ -100,16 +100,32 @@ def commit(samples: DataFrame, diagnostics: DataFrame, path: str) -> None:
     said.join(samples, F.col("filing_id") == F.col("sample_id"), "left").select("filing_id", "status", "sample_id", "entity_id", "filed_date", "blocks", "diagnostic").write.mode("append").parquet(path)
 
 
-def build_and_publish(spark: SparkSession, documents: DataFrame, out: str, work: str | None = None, again: bool = False, plans: DataFrame | None = None, degraded: DataFrame | None = None) -> dict:
-    """Builds what isn't committed yet under ``work`` and publishes all of it to ``out``."""
-    ids = documents.select(F.col("filing_id").alias("id")).distinct()
+def unfit(diagnostics: DataFrame, filings: DataFrame, documents: DataFrame, plans: DataFrame | None) -> DataFrame:
+    """Failed diagnostics, in the form of ``diagnostics``, of filings whose plan has a problem or of which nothing could be fetched."""
+    lost = filings.select("filing_id").distinct().join(documents.select("filing_id").distinct(), "filing_id", "left_anti").withColumn("reason", F.lit("no document could be fetched"))
+    if plans is not None:
+        bad = plans.where("problem is not null").groupBy("filing_id").agg(F.min("problem").alias("problem"))
+        lost = filings.select("filing_id").distinct().join(bad, "filing_id").select("filing_id", F.col("problem").alias("reason")).union(lost.join(bad, "filing_id", "left_anti"))
+    known = {"filing_id": F.col("filing_id"), "sample_id": F.col("filing_id"), "status": F.lit("failed"), "reason": F.col("reason"), "content_status": F.lit("unknown"), "coverage_status": F.lit("unknown")}
+    empty = {"array": F.array(), "int": F.lit(0), "bigint": F.lit(0)}
+    kind = lambda f: f.dataType.simpleString()
+    return lost.select(*(known.get(f.name, empty.get(kind(f).split("<")[0], F.lit(None))).cast(f.dataType).alias(f.name) for f in diagnostics.schema))
+
+
+def build_and_publish(spark: SparkSession, documents: DataFrame, out: str, work: str | None = None, again: bool = False, plans: DataFrame | None = None, degraded: DataFrame | None = None, filings: DataFrame | None = None) -> dict:
+    """Builds what isn't committed yet under ``work`` and publishes all of it to ``out``; every one of ``filings`` gets a diagnostic."""
+    filings = documents if filings is None else filings
+    ids = filings.select(F.col("filing_id").alias("id")).distinct()
+    every = documents
+    if plans is not None:
+        documents = documents.join(plans.where("problem is not null").select("filing_id"), "filing_id", "left_anti")
     work = work or f"{out}.work"
     fs, at = validation.hadoop(spark, work)
     if not again:
         fs.delete(at, True)
     todo = resume(documents, committed(spark, work, ids)[1]) if fs.exists(at) else documents
     samples, diagnostics = build(todo, plans, degraded)
-    held = diagnostics.persist()
+    held = diagnostics.union(unfit(diagnostics, filings, every, plans)).persist()
     try:
         commit(samples, held, work)
     finally:
