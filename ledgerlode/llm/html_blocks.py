@@ -310,8 +310,10 @@ def train(pages: list[str]) -> Labeller | None:
 
 def fit(pages: DataFrame, sample: int = PAGES) -> Labeller | None:
     """Trains on the ``sample`` pages of least hash that are shorter than 64 K characters."""
-    short = pages.where("html is not null and length(html) between 1 and 65536").select(F.col("html").cast("string"))
-    rows = short.orderBy(F.xxhash64("html"), "html").limit(sample).collect()
+    short = pages.where("html is not null and length(html) between 1 and 65536").select(F.col("html").cast("string")).withColumn("h", F.xxhash64("html"))
+    # hashes first, so that no task offers pages that the sample doesn't take; a repeated page counts once
+    least = [r.h for r in short.select("h").distinct().orderBy("h").limit(sample).collect()]
+    rows = short.where(F.col("h").isin(least)).dropDuplicates(["h"]).orderBy("h").collect() if least else []
     return train([r.html for r in rows])
 
 
