@@ -1,7 +1,8 @@
 """Main-text extraction with a recurrent block labeller.
 
 A page's leaves are its runs of text between block-level tags. Each leaf has a vector of
-hashed tag-path tokens (tags, words of class, id and role), hashed words, and a few
+hashed tag-path tokens (tags; of the words of class, id and role those that the rule
+knows, as others would be noise), hashed words, and a few
 numbers (length, share of text in links, marks, place). A bidirectional LSTM in numpy
 reads all leaves of a page in order, so each block is labelled with the whole page as
 context; blocks labelled as main text are joined by a space.
@@ -9,7 +10,9 @@ context; blocks labelled as main text are joined by a space.
 There are no labelled pages, so the labeller is trained here on ``PAGES`` pages of least
 hash (a bounded sample): a rule on the path gives the labels, and copies of these pages
 with other containers (boxes for menus, notices, adverts, comments and so on, drawn from
-a fixed list, and articles in plain boxes) teach it layouts that the sample lacks.
+a fixed list, and articles in plain boxes) teach it layouts that the sample lacks. More
+copies put the same article into invented layouts (``_layout``) without telling names:
+there the labels follow from the layout, and length, links and neighbours have to do.
 
 Pages are read whole; a task holds one slice of them. Null and empty pages, and pages
 without main text, give an empty text. Scripts, styles, comments and form fields aren't
@@ -30,13 +33,15 @@ from pyspark.sql import functions as F
 from ledgerlode.llm import words as W
 from ledgerlode.llm.common import bounded, kept_columns, table
 
-PAGES, COPIES, EPOCHS = 150, 4, 8
-PATH, WORD, EXTRA, HIDDEN = 128, 32, 6, 16
+PAGES, COPIES, LAYOUTS, EPOCHS = 150, 3, 4, 8
+PATH, WORD, EXTRA, HIDDEN = 512, 32, 6, 16
 WIDTH = PATH + WORD + EXTRA
 
 _BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_RAW = frozenset("script style noscript template textarea title iframe object svg math head canvas audio video".split())
+_RAW = frozenset("script style noscript template textarea title iframe svg head".split())
+#: Raw elements that swallow the rest of a page when they aren't closed; others are passed over.
+_TO_THE_END = frozenset("script style textarea title".split())
 _END = {t: re.compile(rf"</{t}\s*>" if t != "head" else r"</head\s*>|(?=<body)", re.I) for t in _RAW}
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
@@ -48,10 +53,17 @@ _ASIDE_TAGS = frozenset("nav header footer aside form menu button select option
 _ASIDE_WORDS = frozenset("ad ads advert advertisement adverts sponsor sponsored promo promoted banner cookie cookies consent notice notices alert popup modal nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer bottom copyright sidebar side aside related share sharing social comment comments reply replies discussion disqus respond newsletter subscribe signup login search form widget pagination pager tags meta".split())
 _MAIN_TAGS = frozenset(("article", "main"))
 _MAIN_WORDS = frozenset("article content post entry story main".split())
+_KNOWN = _ASIDE_WORDS | _MAIN_WORDS
 #: Ends of paths that an article's own blocks have as well.
 _INNER = (("p",), ("h2",), ("h3",), ("blockquote",), ("blockquote", "p"), ("ul", "li"), ("ol", "li"), ("pre",), ("figure", "figcaption"), ("table", "tbody", "tr", "td"), ("dl", "dd"), ("div",), ("section", "p"), ("header", "h1"))
 _BOXES = [(t, w) for t in ("div", "section", "aside", "ul") for w in sorted(_ASIDE_WORDS)] + [(t, "") for t in sorted(_ASIDE_TAGS)]
 
+#: Names and inner paths of invented layouts.
+_NEUTRAL = "wrap wrapper page container text body column col left right center inner outer row grid block box site root app field region".split()
+_WRAPS = (("div",), ("div",), ("div",), ("section",), ("main",), ("table", "tbody", "tr", "td"), ("table", "tr", "td"), ("center",))
+_COMMENTS = (("div comments", "div comment"), ("section comments", "ul", "li"), ("section", "ol commentlist", "li comment"), ("div discussion", "article comment"), ("div replies", "div reply"), ("div respond",))
+_SHORT = frozenset("li td dd figcaption h2 h3".split())
+
 
 def leaves(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     """(path, text, share of the text in links) of each leaf; a path's entries are a tag and its class words."""
@@ -87,7 +99,7 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         if tag in _RAW:
             if not ending and not m[3].rstrip().endswith("/"):
                 end = _END[tag].search(page, at)
-                at = end.end() if end else at if tag == "head" else n
+                at = end.end() if end else n if tag in _TO_THE_END else at
             continue
         if tag not in _BLOCK:
             if tag == "a":
@@ -146,7 +158,7 @@ def _path(path: tuple[str, ...]) -> np.ndarray:
         for k, entry in enumerate(path):
             tag, *words = entry.split(" ")
             v[_bucket(tag)] = 1
-            for w in words:
+            for w in _KNOWN & set(words):
                 v[_bucket(f".{w}")] = 1
             if k == len(path) - 1:
                 v[_bucket(f"{tag}!")] = 1
@@ -274,6 +286,62 @@ def _padded(pages: list[list], labels: list[np.ndarray] | None) -> tuple[np.ndar
     return x, mask, y
 
 
+def _layout(rng: np.random.Generator, main: list[str], spare: list[str]) -> tuple[list, np.ndarray]:
+    """Leaves and labels of a page with the texts ``main`` as article, in a layout drawn by ``rng``, with other boxes around and inside it."""
+
+    def pick(of):
+        return of[rng.integers(len(of))]
+
+    def name() -> str:
+        kind = rng.random()
+        return "" if kind < 0.35 else pick(_NEUTRAL) if kind < 0.7 else "".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(2, 9)))
+
+    def wrap() -> tuple[str, ...]:
+        *outer, last = pick(_WRAPS)
+        return (*outer, f"{last} {name()}".strip())
+
+    def some(least: int, most: int) -> str:
+        words, n = pick(spare).split(" "), rng.integers(least, most + 1)
+        at = rng.integers(max(1, len(words) - n + 1))
+        return " ".join(words[at : at + n])
+
+    def box(at: tuple, last: bool) -> list:
+        kind = rng.random()
+        if kind < 0.4:
+            own = (pick(sorted(_ASIDE_TAGS)),) if rng.random() < 0.5 else wrap()
+            inner = pick((("ul", "li"), ("ol", "li"), ("p",), ("div",), ("table", "tr", "td"), ()))
+            return [((*at, *own, *inner), some(1, 4), float(0.8 + 0.2 * rng.random())) for _ in range(rng.integers(1, 8))]
+        if kind < 0.55 and last:
+            return [((*at, *pick(_COMMENTS), *pick(((), ("p",), ("div", "p")))), some(2, 40), 0.0) for _ in range(rng.integers(1, 6))]
+        if kind < 0.65 and last:
+            return [((*at, *wrap()), f"\u00a9 {some(1, 8)}", 0.3 * float(rng.random()))]
+        tag, word = pick(_BOXES)
+        return [((*at, f"{tag} {word}".strip(), *pick(((), ("p",), ("h3",), ("ul", "li"), ("div", "p")))), some(1, 50), float(rng.random() < 0.3)) for _ in range(rng.integers(1, 4))]
+
+    page = ("html", "body")
+    for _ in range(rng.integers(0, 3)):
+        page += wrap()
+    home = page
+    for _ in range(rng.integers(0, 3)):
+        home += wrap() if rng.random() < 0.6 else (pick(("article", "main", *(f"div {w}" for w in sorted(_MAIN_WORDS)))),)
+    out: list = []
+    for _ in range(rng.integers(0, 4)):
+        out += [(x, 0) for x in box(page, False)]
+    if rng.random() < 0.85:
+        out.append((((*home, *pick(((), (), ("header",), ("div title",))), pick(("h1", "h1", "h2"))), some(2, 12), 0.0), 1))
+    for text in main:
+        inner = ("p",) if rng.random() < 0.6 else pick(_INNER)
+        for _ in range(rng.integers(2, 6) if inner[-1] in ("li", "td") else 1):
+            words = text.split(" ")
+            out.append((((*home, *inner), " ".join(words[: rng.integers(2, 13)]) if inner[-1] in _SHORT else text, 0.3 * float(rng.random() < 0.2)), 1))
+        if rng.random() < 0.2:
+            tag, word = pick(_BOXES)
+            out.append((((*home, f"{tag} {word}".strip()), some(1, 30), float(rng.random() < 0.5)), 0))
+    for _ in range(rng.integers(0, 4)):
+        out += [(x, 0) for x in box(home if rng.random() < 0.3 else page, True)]
+    return [x for x, _ in out], np.array([y for _, y in out], np.float32)
+
+
 def train(pages: list[str]) -> Labeller | None:
     """A labeller from raw pages, labelled by ``rule``, and copies of them in other containers."""
     rng = np.random.default_rng(11)
@@ -303,6 +371,12 @@ def train(pages: list[str]) -> Labeller | None:
     for p in seen:
         contained = any(rule(path, True) for path, _, _ in p)
         labels.append(np.array([rule(path, contained) for path, _, _ in p], np.float32))
+    for k in range(len(first)):
+        main = [x[1] for x, y in zip(seen[k], labels[k], strict=True) if y]
+        for _ in range(LAYOUTS if main else 0):
+            own, y = _layout(rng, main, spare)
+            seen.append(own)
+            labels.append(y)
     model = Labeller()
     model.train(seen, labels)
     return model

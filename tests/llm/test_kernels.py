@@ -239,3 +239,10 @@ def test_labeller():
         found = html_blocks.leaves(page)
         assert [t for (_, t, _), k in zip(found, model.label([found])[0], strict=True) if k] == [t for _, t, _ in found[2:5]]
     assert html_blocks.train([]) is None
+
+
+def test_html_raw_elements():
+    texts = lambda page: [x[1] for x in html_blocks.leaves(page)]
+    assert texts("<p>so <math><mi>x</mi></math> <object>is <b>read</b></object></p><p>on") == ["so x is read", "on"]
+    assert texts("<p>a<svg><text>b</text></svg></p><noscript>c<p>d") == ["a", "c", "d"]
+    assert texts("<p>a<script>b<p>c") == ["a"]
