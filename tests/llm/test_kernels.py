@@ -215,6 +215,14 @@ def test_automaton_walks_as_one_by_one():
         assert abs(total + a.stop[q] - got) < 1e-9
 
 
+def test_automaton_counts_weights():
+    rng = random.Random(5)
+    some = draws(rng, "ab1", 300, (8, 9)) + ["key-" + x for x in draws(rng, "0123456789", 200, (4, 6))]
+    each = sorted(set(some))
+    a, b = secret_scan.Automaton(some), secret_scan.Automaton(each, weights=[some.count(x) for x in each])
+    assert a.states == b.states > 1 and np.allclose(a.step, b.step) and np.allclose(a.stop, b.stop)
+
+
 def test_secret_base_matches():
     text = 'é password: "hunter2hunter2" token=short AKIA' + "A1" * 8 + " " + "0af" * 11 + " toKen = x" + "ſecret=abcdefghij"
     got = secret_scan.base(text)

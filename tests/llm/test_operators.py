@@ -186,6 +186,32 @@ def test_secrets(spark, docs, empty):
     assert {i: x for i, x in got.items() if x} == {100: [("format", 12, 42)]}
 
 
+def test_secrets_are_learnt_from_all(spark):
+    """Distinct credentials and ordinary runs beyond any sample, long ones and repeated rows too."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(4)
+    draw = lambda marks, n: "".join(rng.choice(marks) for _ in range(n))
+    keys = [draw("0123456789abcdef", 32 + i % 9) for i in range(1500)] + [draw("0123456789abcdef", 600) for _ in range(30)]
+    runs = [f"Word{i}/{draw('abcxyz', 3 + i % 7)}" for i in range(3000)] + ["x" * 700 + "-end"]
+    rows = [(i, f"({k}) ({' '.join(runs[2 * i : 2 * i + 2])})") for i, k in enumerate(keys)] + [(0, f"({keys[0]})")] * 5
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    order = lambda some: sorted(some, key=lambda x: (zlib.crc32(x.encode()), x))
+    runs = [x for x in runs if any(x in t.split("(")[-1] for _, t in rows)]
+    before = secret_scan.KNOWN
+    try:
+        for secret_scan.KNOWN in (before, 1000):
+            got, want = secret_scan.fit(df), secret_scan.Model({"hex": order(keys)}, order(runs))
+            assert list(got.automata) == ["hex"]
+            assert np.allclose(got.plain.step, want.plain.step) and np.allclose(got.plain.stop, want.plain.stop)
+            assert np.allclose(got.automata["hex"].step, want.automata["hex"].step) and np.allclose(got.automata["hex"].stop, want.automata["hex"].stop)
+            assert np.allclose(got.cuts["hex"], want.cuts["hex"], atol=0.01)
+    finally:
+        secret_scan.KNOWN = before
+
+
 def test_language_and_quality(spark, docs, empty):
     plain = docs.select("doc_id", "text", "lang")
     got = langid.identify(plain, langid.fit(plain), ["doc_id"]).collect()
