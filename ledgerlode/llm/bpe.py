@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding by DuckDB queries inside each task.
 
 Encoding: the pre-tokenizer's pattern cuts a text into pieces. Every piece that
-this worker hasn't met yet goes, as one row for each byte position, through a
-recursive query: the rows join the merge table with their right neighbour, each
+this worker hasn't met yet goes, as the list of its bytes' ids, through a recursive
+query: one row for each position joins the merge table with its right neighbour, each
 piece's leftmost pair of least rank is contracted, and pieces without a pair
 drop out, until none is left. The recursion is keyed by the piece, so only the last
 level of each is held. Decoding: the ids' rows join the vocabulary and an
@@ -30,6 +30,7 @@ Columns to keep may have any name but those that are added; a clash raises ``Val
 from __future__ import annotations
 
 import base64
+import gc
 import re
 import os
 import tempfile
@@ -43,9 +44,11 @@ from ledgerlode.llm import words as W
 from ledgerlode.llm.common import kept_columns, table, worker_state
 
 LONG = 40
-CACHE = 96 << 20
+CACHE = 160 << 20
+#: Bytes of text that are encoded together: each query has to read the whole merge table in every step.
+SLICE = 2 << 20
 #: Bytes of pieces in one recursive query.
-BATCH = 200_000
+BATCH = 400_000
 
 #: White_Space of Unicode, the pattern's \s; fixed values.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -54,12 +57,12 @@ _CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: One contraction a piece and step: the key has the rank, then the position.
 ONE = """
 WITH RECURSIVE s(w, t) USING KEY (w) AS (
-  SELECT w, list(t ORDER BY i) FROM pieces GROUP BY w
+  SELECT w, t FROM pieces
   UNION
   SELECT w, list_concat(t[:(k & 4294967295) - 1], [(k >> 32)::INTEGER], t[(k & 4294967295) + 2:])
   FROM s JOIN (
-    SELECT w, min((m.m::BIGINT << 32) | p.i) AS k
-    FROM (SELECT w, unnest(t) AS l, unnest(t[2:]) AS n, generate_subscripts(t, 1) AS i FROM s) p JOIN merges m ON m.l = p.l AND m.r = p.n
+    SELECT w, min((m.m << 32) | p.i) AS k
+    FROM (SELECT w, unnest(t) AS l, unnest(t[2:]) AS n, generate_subscripts(t, 1) AS i FROM s) p JOIN pairs m ON m.lr = (p.l::BIGINT << 32) | p.n
     GROUP BY w) USING (w)
 )
 SELECT w, t FROM s ORDER BY w
@@ -68,7 +71,7 @@ SELECT w, t FROM s ORDER BY w
 #: makes a pair of lower rank (a row of ``falls``) with the token before or after it.
 ALL = """
 WITH RECURSIVE s(w, t) USING KEY (w) AS (
-  SELECT w, list(t ORDER BY i) FROM pieces GROUP BY w
+  SELECT w, t FROM pieces
   UNION
   SELECT w, list(CASE WHEN done THEN best ELSE t END ORDER BY i) FILTER (NOT gone) FROM (
     SELECT w, i, t, best, done, coalesce(lag(done) OVER (PARTITION BY w ORDER BY i), false) AS gone FROM (
@@ -162,6 +165,7 @@ class Codec:
             self.db.register("given", data)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
+        self.db.execute("CREATE TABLE pairs AS SELECT (l::BIGINT << 32) | r AS lr, m::BIGINT AS m FROM merges")
         self.db.execute("CREATE TABLE falls AS SELECT * FROM merges WHERE m < greatest(l, r)")  # a token's id is its rank
         self.trie = Trie(ranks)
         self.chunks = W.Chunks(CACHE)
@@ -177,7 +181,8 @@ class Codec:
     def _contract(self, sql: str, pieces: list[bytes]) -> list[bytes]:
         n = np.array([len(x) for x in pieces])
         at = np.concatenate([[0], np.cumsum(n)])
-        rows = pa.table({"w": pa.array(np.repeat(np.arange(len(n), dtype=np.int32), n)), "i": pa.array((np.arange(at[-1]) - np.repeat(at[:-1], n)).astype(np.int32)), "t": pa.array(self.byte[np.frombuffer(b"".join(pieces), np.uint8)])})
+        lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(self.byte[np.frombuffer(b"".join(pieces), np.uint8)]))
+        rows = pa.table({"w": pa.array(np.arange(len(n), dtype=np.int32)), "t": lists})
         flat = self._query(sql, pieces=rows)["t"].combine_chunks()
         data, off = flat.values.to_numpy().astype(np.int32).tobytes(), (flat.offsets.to_numpy() * 4).tolist()
         return [data[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
@@ -201,7 +206,13 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit integers."""
-        return self.chunks.encode([_CHUNK.findall(x) for x in texts], self._new)
+        on = gc.isenabled()
+        gc.disable()  # lists of chunks hold no cycles, and looking for some in them takes long
+        try:
+            return self.chunks.encode([_CHUNK.findall(x) for x in texts], self._new)
+        finally:
+            if on:
+                gc.enable()
 
     def _new(self, chunks: list[str]) -> dict[str, bytes]:
         parts = {c: [p.encode("utf-8", "surrogatepass") for p in self.pattern.findall(c)] for c in chunks}
@@ -246,7 +257,7 @@ def encode(docs: DataFrame, keep: list[str], path: str | None = None, decoded: b
         own = codec(path)
         for batch in batches:
             text = batch.column(batch.num_columns - 1)
-            for i, j in W.slices(text):
+            for i, j in W.slices(text, SLICE):
                 ids = own.encode([x or "" for x in text.slice(i, j - i).to_pylist()])
                 out = [batch.column(c).slice(i, j - i) for c in range(batch.num_columns - 1)] + [_int_lists(ids)]
                 if decoded:

@@ -96,6 +96,23 @@ def test_bpe_encodes_as_the_library_and_decodes():
     assert [x.decode() for x in codec.decode(ids)] == texts
 
 
+def test_bpe_asks_few_queries_for_many_pieces():
+    import gc
+
+    import public_tokenizers
+    import tiktoken
+
+    codec = bpe.Codec(bpe.default_path())
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(bpe.default_path()), special_tokens={})
+    rng = random.Random(11)
+    texts = [" ".join("".join(rng.choice("abcdefghijklßéñ") for _ in range(rng.randint(1, 14))) for _ in range(40000)), "", "a", "é"]
+    asked = []
+    contract = codec._contract
+    codec._contract = lambda sql, pieces: asked.append(sum(map(len, pieces))) or contract(sql, pieces)
+    assert [np.frombuffer(x, np.int32).tolist() for x in codec.encode(texts)] == [other.encode_ordinary(x) for x in texts]
+    assert gc.isenabled() and sum(asked) > 250_000 and len(asked) == 1
+
+
 def test_darts_estimate_similarity():
     rng = np.random.default_rng(2)
     for shared, own in ((80, 10), (50, 25), (5, 60)):
