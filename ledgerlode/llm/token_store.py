@@ -27,6 +27,7 @@ comes first. An empty table gives an empty store.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -44,7 +45,9 @@ SEGMENT_IDS = 1 << 20
 SAMPLE = 64
 #: Documents read from a segment at once.
 READ = 1024
-CACHE = 96 << 20
+#: Words given to the library as one text.
+TOGETHER = 100
+CACHE = 160 << 20
 END_ID = 2
 _HEAD = struct.Struct("<4sBBBBqq")
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
@@ -56,6 +59,17 @@ _NTH = np.array([[*np.flatnonzero(b), *[0] * (8 - b.sum())] for b in _BITS], np.
 _MARK, _GAP = r".,!?;:%&*#$|()", r" \t\n\r\f\v"
 _CHUNK = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ]+(?![^{_MARK}{_GAP}])|[{_MARK}]+(?![^{_GAP}])|[^{_GAP}]+")
 _WORD = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ]+|[{_MARK}]+")
+#: A normalizer and a pre-tokenizer that leave a lower-case word of ``_WORD`` as it is, but for its bytes' own characters.
+_PLAIN = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
 
 
 def pack(lengths: np.ndarray, ids: bytes, width: int) -> bytes:
@@ -138,22 +152,38 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.lower = "Lowercase" in str(self.tokenizer.normalizer)
-
-    def _case(self, text: str) -> str:
-        """The text in lower case where that is what the tokenizer does to each of its characters anyway."""
+        self.words = self._light(path)
+
+    @staticmethod
+    def _light(path: str):
+        """The tokenizer without the work that changes nothing in lower-case words between spaces; None if its steps aren't known."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if (spec["normalizer"], spec["pre_tokenizer"]) != _PLAIN:
+            return None
+        own = Tokenizer.from_file(path)
+        own.normalizer = None
+        own.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        return own
+
+    def _case(self, text: str, low: str) -> str:
+        """The text in lower case, ``low``, where that is what the tokenizer does to each of its characters anyway."""
         if self.lower and not text.isascii():
             try:
                 text.encode("latin-1")
             except UnicodeEncodeError:
                 return text
-        return text.lower() if self.lower else text
+        return low if self.lower else text
 
     def _new(self, chunks: list[str]) -> dict[str, bytes]:
         """Ids of distinct chunks. Runs of letters or marks are one word each: many are encoded at once and cut after the ids that end words."""
         kind, out = f"<u{self.width}", {}
         plain = [c for c in chunks if _WORD.fullmatch(c)] if self.ends.any() else []
         if plain:
-            got = self.tokenizer.encode_batch_fast([" ".join(plain[i : i + 1000]) for i in range(0, len(plain), 1000)], add_special_tokens=False)
+            lines = [" ".join(plain[i : i + TOGETHER]) for i in range(0, len(plain), TOGETHER)]
+            got = self.words.encode_batch_fast([x.lower() for x in lines], add_special_tokens=False) if self.words else self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
             ids = np.concatenate([np.array(e.ids, np.int64) for e in got])
             cut = (np.flatnonzero(self.ends[ids]) + 1) * self.width
             if len(cut) == len(plain):
@@ -164,8 +194,15 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, x in enumerate(texts) if any(t in x or t in x.lower() for t in self.added)} if self.added else set()
-        out = self.chunks.encode([[] if i in whole else _CHUNK.findall(self._case(x)) for i, x in enumerate(texts)], self._new)
+        whole, cut = [], []
+        for i, x in enumerate(texts):
+            low = x.lower()
+            if any(t in x or t in low for t in self.added):
+                whole.append(i)
+                cut.append([])
+            else:
+                cut.append(_CHUNK.findall(self._case(x, low)))
+        out = self.chunks.encode(cut, self._new)
         for i in whole:
             out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, f"<u{self.width}").tobytes()
         return out

@@ -123,7 +123,7 @@ def kgrams(h: np.ndarray, k: int) -> np.ndarray:
 
 
 class Chunks:
-    """Encoded chunks of text, emptied before they take more than ``limit`` bytes."""
+    """Encoded chunks of text, of at most ``limit`` bytes from call to call."""
 
     #: About what an entry takes beside its characters and ids.
     ENTRY = 200
@@ -132,27 +132,24 @@ class Chunks:
         self.held: dict[str, bytes] = {}
         self.limit, self.size = limit, 0
 
+    def _bytes(self, some: dict[str, bytes]) -> int:
+        return sum(map(len, some)) + sum(map(len, some.values())) + self.ENTRY * len(some)
+
     def encode(self, cut: list[list[str]], encode) -> list[bytes]:
         """The joined bytes of each list of chunks: those held, or by ``encode`` for chunks not met yet.
 
-        Chunks are looked up without a Python step for each; only the gaps are filled one by one.
+        Where the new ones don't fit, only those of this call stay, and none if they are too many by
+        themselves. Chunks are looked up without a Python step for each.
         """
-        got = [list(map(self.held.get, x)) for x in cut]
-        gaps = []
-        for x, g in zip(cut, got, strict=True):
-            at = -1
-            for _ in range(g.count(None)):
-                at = g.index(None, at + 1)
-                gaps.append((g, at, x[at]))
-        new = list({c for _, _, c in gaps})
-        fresh = encode(new)
-        size = sum(map(len, new)) + sum(map(len, fresh.values())) + self.ENTRY * len(new)
-        if self.size + size > self.limit:
-            self.held.clear()
-            self.size = 0
-        if size <= self.limit:
-            self.held.update(fresh)
-            self.size += size
-        for g, at, c in gaps:
-            g[at] = fresh[c]
-        return [b"".join(g) for g in got]
+        met = set().union(*cut)
+        fresh = encode(list(met.difference(self.held)))
+        self.size += self._bytes(fresh)
+        if self.size > self.limit:
+            self.held = {c: self.held[c] for c in met.difference(fresh)}
+            self.size = self._bytes(self.held) + self._bytes(fresh)
+        self.held.update(fresh)
+        get = self.held.__getitem__
+        out = [b"".join(map(get, x)) for x in cut]
+        if self.size > self.limit:
+            self.held, self.size = {}, 0
+        return out
