@@ -4,20 +4,20 @@ Encoding: the pre-tokenizer's pattern cuts a text into pieces. Every piece that
 this worker hasn't met yet goes, as the list of its bytes' ids, through a recursive
 query: one row for each position joins the merge table with its right neighbour, each
 piece's leftmost pair of least rank is contracted, and pieces without a pair
-drop out, until none is left. The recursion is keyed by the piece, so only the last
-level of each is held. Decoding: the ids' rows join the vocabulary and an
-aggregation ordered by position puts the bytes together again.
+drop out, until none is left. A piece has at most ``LONG`` levels, each shorter by one
+than that before, and the shortest is its result. Decoding: rows of ``WIDE`` ids each join the
+vocabulary and an aggregation ordered by position puts the bytes together again.
 
 Pieces over ``LONG`` bytes are cut first where no token of the vocabulary matches the
 bytes across a place: no contraction can ever cross it, so the parts are encoded
 independently. Parts still over ``LONG`` contract all places of the least-ranked pair in
-one step, from the left, up to the first whose token makes a pair of lower rank with a
+one step, in a recursion keyed by the piece that holds its last level only, from the left, up to the first whose token makes a pair of lower rank with a
 neighbour; that is what one place at a time would do, in as many steps as there are ranks
 and such places. So a text without any such cut and with very many such places is slow,
 but never held more than once.
 
-Texts are first cut where white space follows other text; the pattern never
-matches across such a place, so these chunks are encoded independently and kept
+Texts are first cut where white space follows other text and after letters before some
+marks; the pattern never matches across such a place, so these chunks are encoded independently and kept
 in a dictionary of at most ``CACHE`` bytes, which is emptied when full. Memory
 is bounded by that, by the slice of ``words.slices`` and by the longest text; nothing is
 shuffled.
@@ -49,23 +49,28 @@ CACHE = 160 << 20
 SLICE = 2 << 20
 #: Bytes of pieces in one recursive query.
 BATCH = 400_000
+#: Ids in a row of the query that decodes: the fewer rows, the less there is to order.
+WIDE = 8
 
 #: White_Space of Unicode, the pattern's \s; fixed values.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-_CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+_LETTERS, _MARK = "A-Za-zÀ-ÖØ-öø-ÿ", r".,!?;:%&*#$|()"
+_CHUNK = re.compile(f"[{SPACE}]*(?:[{_LETTERS}]++(?![^{_MARK}{SPACE}])|[^{SPACE}]+)|[{SPACE}]+")
+#: Chunks that are one piece.
+_WORD = re.compile(f" ?[{_LETTERS}]+")
 
 #: One contraction a piece and step: the key has the rank, then the position.
 ONE = """
-WITH RECURSIVE s(w, t) USING KEY (w) AS (
+WITH RECURSIVE s(w, t) AS (
   SELECT w, t FROM pieces
-  UNION
+  UNION ALL
   SELECT w, list_concat(t[:(k & 4294967295) - 1], [(k >> 32)::INTEGER], t[(k & 4294967295) + 2:])
   FROM s JOIN (
     SELECT w, min((m.m << 32) | p.i) AS k
     FROM (SELECT w, unnest(t) AS l, unnest(t[2:]) AS n, generate_subscripts(t, 1) AS i FROM s) p JOIN pairs m ON m.lr = (p.l::BIGINT << 32) | p.n
     GROUP BY w) USING (w)
 )
-SELECT w, t FROM s ORDER BY w
+SELECT w, t FROM s
 """
 #: All places of the least pair: of neighbouring places, each second one, up to the first whose token (``best``)
 #: makes a pair of lower rank (a row of ``falls``) with the token before or after it.
@@ -90,9 +95,12 @@ WITH RECURSIVE s(w, t) USING KEY (w) AS (
         LEFT JOIN falls a ON a.l = y.before AND a.r = y.best LEFT JOIN falls b ON b.l = y.best AND b.r = y.after)))
   GROUP BY w
 )
-SELECT w, t FROM s ORDER BY w
+SELECT w, t FROM s
+"""
+_DECODE = f"""
+SELECT d, string_agg(concat({", ".join(f"v{k}.b" for k in range(WIDE))}), '' ORDER BY p) AS b
+FROM ids {" ".join(f"LEFT JOIN vocabulary v{k} ON v{k}.t = t{k}" for k in range(WIDE))} GROUP BY d
 """
-_DECODE = "SELECT d, string_agg(b, '' ORDER BY p) AS b FROM ids JOIN vocabulary USING (t) GROUP BY d"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -183,9 +191,17 @@ class Codec:
         at = np.concatenate([[0], np.cumsum(n)])
         lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(self.byte[np.frombuffer(b"".join(pieces), np.uint8)]))
         rows = pa.table({"w": pa.array(np.arange(len(n), dtype=np.int32)), "t": lists})
-        flat = self._query(sql, pieces=rows)["t"].combine_chunks()
-        data, off = flat.values.to_numpy().astype(np.int32).tobytes(), (flat.offsets.to_numpy() * 4).tolist()
-        return [data[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
+        got = self._query(sql, pieces=rows)
+        w, flat = got["w"].to_numpy(), got["t"].combine_chunks()
+        off = flat.offsets.to_numpy()
+        size = np.diff(off)
+        least = n.copy()
+        np.minimum.at(least, w, size)
+        row = np.empty(len(n), np.int64)
+        (last,) = np.nonzero(size == least[w])  # one level for each piece
+        row[w[last]] = last
+        data = flat.values.to_numpy().astype(np.int32, copy=False).tobytes()
+        return [data[a:b] for a, b in zip((off[row] * 4).tolist(), (off[row + 1] * 4).tolist(), strict=True)]
 
     def pieces(self, found: list[bytes]) -> dict[bytes, bytes]:
         """The ids of distinct pieces, as little-endian 32-bit integers."""
@@ -215,7 +231,7 @@ class Codec:
                 gc.enable()
 
     def _new(self, chunks: list[str]) -> dict[str, bytes]:
-        parts = {c: [p.encode("utf-8", "surrogatepass") for p in self.pattern.findall(c)] for c in chunks}
+        parts = {c: [c.encode()] if _WORD.fullmatch(c) else [p.encode("utf-8", "surrogatepass") for p in self.pattern.findall(c)] for c in chunks}
         known = self.pieces(list({p for x in parts.values() for p in x}))
         return {c: b"".join([known[p] for p in x]) for c, x in parts.items()}
 
@@ -224,9 +240,12 @@ class Codec:
         n = np.array([len(x) for x in ids])
         if not n.sum():
             return [b""] * len(ids)
-        flat = np.concatenate(ids).astype(np.int32)
-        rows = pa.table({"d": pa.array(np.repeat(np.arange(len(n), dtype=np.int32), n)), "p": pa.array(np.arange(len(flat), dtype=np.int32)), "t": pa.array(flat)})
-        got = self._query(_DECODE, ids=rows)
+        rows = -(-n // WIDE)
+        end = np.cumsum(rows)
+        wide = np.full(end[-1] * WIDE, -1, np.int32)  # no token has this id
+        wide[np.repeat((end - rows) * WIDE - np.cumsum(n) + n, n) + np.arange(n.sum())] = np.concatenate(ids)
+        columns = {f"t{k}": pa.array(np.ascontiguousarray(wide[k::WIDE])) for k in range(WIDE)}
+        got = self._query(_DECODE, ids=pa.table({"d": pa.array(np.repeat(np.arange(len(n), dtype=np.int32), rows)), "p": pa.array(np.arange(end[-1], dtype=np.int32)), **columns}))
         out = [b""] * len(ids)
         for d, b in zip(got["d"].to_pylist(), got["b"].to_pylist(), strict=True):
             out[d] = b.encode("latin-1")

@@ -141,6 +141,32 @@ def test_bpe_asks_few_queries_for_many_pieces():
     assert gc.isenabled() and sum(asked) > 250_000 and len(asked) == 1
 
 
+def test_bpe_contracts_a_word_once_whatever_mark_follows():
+    import public_tokenizers
+    import tiktoken
+
+    codec = bpe.Codec(bpe.default_path())
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(bpe.default_path()), special_tokens={})
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["ab", "é", "'s", "'", " ", "  ", "\n", "x1", "7", "日", "\u0301", "ß", *".,!?;:%&*#$|()-"]) for _ in range(60)) for _ in range(300)]
+    assert [np.frombuffer(x, np.int32).tolist() for x in codec.encode(texts)] == [other.encode_ordinary(x) for x in texts]
+    asked = []
+    contract = codec._contract
+    codec._contract = lambda sql, pieces: asked.extend(pieces) or contract(sql, pieces)
+    for mark in ",;!":
+        codec.encode([f"zzzaqüx{mark} zzzaqüx{mark}"])
+    assert sorted(x for x in asked if len(x) > 1) == sorted(["zzzaqüx".encode(), " zzzaqüx".encode()])
+
+
+def test_bpe_decodes_runs_of_any_length():
+    codec = bpe.Codec(bpe.default_path())
+    held = {i: t for t, i in bpe.read_ranks(bpe.default_path()).items()}
+    rng = np.random.default_rng(6)
+    ids = [rng.integers(0, len(held), n).astype(np.int32) for n in [0, 1, 7, 8, 9, 0, 0, 15, 16, 17, 1000, 0]]
+    assert codec.decode(ids) == [b"".join(held[i] for i in x.tolist()) for x in ids]
+    assert codec.decode([]) == [] and codec.decode(ids[:1]) == [b""]
+
+
 def test_darts_estimate_similarity():
     rng = np.random.default_rng(2)
     for shared, own in ((80, 10), (50, 25), (5, 60)):
