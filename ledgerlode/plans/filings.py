@@ -24,9 +24,19 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a narrow table for each task that makes and parses documents of its rows: about 100,000 of them.
+NARROW = 2 << 20
+
+
 def _dealt(spark: SparkSession, sf_dir: str, name: str, key: str, *more: str) -> DataFrame:
-    """Columns of a table dealt by its key to as many tasks as a shuffle has: its rows are narrow, and what is made of one and parsed takes far longer than reading it."""
-    return _t(spark, sf_dir, name).select(key, *more).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    """Columns of a table dealt out by its key: its rows are narrow, and what is made of one and parsed takes far longer than reading it.
+
+    There are as many tasks as a shuffle has, and more where the table is large, so a task's
+    share doesn't grow with it.
+    """
+    rows = _t(spark, sf_dir, name)
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.select(key, *more).repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // NARROW)), key)
 
 
 def query(name: str, sql: str | None = None):
@@ -376,7 +386,7 @@ UNION ALL SELECT id, 3, 'One line' || chr(10) || 'item 3 inside', CAST(i AS VARC
 )
 def q49(spark, sf_dir):
     own = F.concat(F.lit("PART II\n\nSome words\n\nItem "), (F.col("c_custkey") % 15).cast("string"), F.when(F.col("c_custkey") % 2 == 0, "a").otherwise(""), F.lit(". Title\nOne line\nitem 3 inside\n\nItem 123\n\npart iv, the end\n"))
-    made = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), own.alias("content"))
+    made = _dealt(spark, sf_dir, "customer", "c_custkey").select(F.col("c_custkey").alias("id"), own.alias("content"))
     return markup.block_rows(markup.content(made, ["id"]), ["id"]).select("id", "ordinal", "text", "item_code", "line_start")
 
 
@@ -439,7 +449,7 @@ def q53(spark, sf_dir):
     long = "Words before the table that are together over one hundred characters long, so that this line is in no table at all."
     values = F.when(F.col("c_custkey") % 3 == 0, "of the year").otherwise("$ 1,200    (300)")
     own = F.concat(F.lit(long + "\n\n"), F.lit("            2020      2021\nNet        "), n, F.lit("     "), values, F.lit("\nCost       "), n, F.lit("     "), values, F.lit("\nOther      "), n, F.lit("     "), values, F.lit("\n\n\n" + long + "\n"))
-    made = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), own.alias("content"))
+    made = _dealt(spark, sf_dir, "customer", "c_custkey").select(F.col("c_custkey").alias("id"), own.alias("content"))
     return markup.block_rows(markup.content(made, ["id"]), ["id"]).select("id", "ordinal", "kind", "line_start", "line_end")
 
 

@@ -29,7 +29,7 @@ def test_candidates_are_dealt_by_filing_only(spark, name):
     assert dealt and not any("name#" in x for x in dealt)
 
 
-@pytest.mark.parametrize("name", ["q41_index_items", "q42_detail_rows", "q45_cover_rows"])
+@pytest.mark.parametrize("name", ["q41_index_items", "q42_detail_rows", "q45_cover_rows", "q49_sections", "q53_plain_tables"])
 def test_narrow_tables_are_dealt_out(spark, name):
     text = plans.QUERIES[name](spark, DIR)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in text
