@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: The hosts that filings are read from.
 HOSTS = ("data.sec.gov", "www.sec.gov")
 UNQUOTES = 5
+#: Fixed value: names that are safe at a glance, as nearly all are.
+PLAIN_NAME = r"\A[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)*\z"
 
 
 def unquoted(value: Column, times: int = UNQUOTES) -> Column:
@@ -57,7 +59,7 @@ def url_host(url: Column) -> Column:
 
 def safe_filename(name: Column) -> Column:
     """The name where it is a plain basename without two dots in a row, even after decoding; otherwise null."""
-    return F.when(let(unquoted(name), lambda seen: _plain(name, seen)), name)
+    return F.when(name.rlike(PLAIN_NAME) | let(unquoted(name), lambda seen: _plain(name, seen)), name)
 
 
 def _plain(name: Column, seen: Column) -> Column:

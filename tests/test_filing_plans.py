@@ -88,3 +88,13 @@ def test_plain_tables_do_not_go_through_the_library(monkeypatch):
     page = '<table class="tableFile">' + '<tr><td>1</td><td><a href="a.htm">a</a></td></tr>' * 3 + "</table>"
     monkeypatch.setattr(HTMLParser, "feed", lambda self, data: pytest.fail("the library read a plain page"))
     assert len(selection.table_rows(page, "tablefile")) == 3
+
+
+def test_names_safe_at_a_glance_and_nulls(spark):
+    from ledgerlode.functions import urls
+
+    names = ["a.htm", "a..b", ".a", "a.", ".", "", "a.htm\n", "a b.htm", "a/b", "a%2e%2eb", "a%zz", "é.htm", "a-b_c.d", None]
+    df = spark.createDataFrame([(n,) for n in names], "n string").select("n", urls.safe_filename(F.col("n")).alias("s"), selection.clearly_nonfinancial(F.col("n")).alias("f"), selection.generic_exhibit(F.col("n"), F.col("n")).alias("g"))
+    got = df.collect()
+    assert [r.n for r in got if r.s is not None] == ["a.htm", ".a", "a.", "a b.htm", "é.htm", "a-b_c.d"]
+    assert all(r.f is False and r.g is False for r in got)
